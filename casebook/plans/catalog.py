@@ -1,6 +1,6 @@
 """The full query catalogue (imports every catalogue module for registration)."""
 
-from casebook.plans import catalog_core  # noqa: F401
+from casebook.plans import catalog_core, catalog_fields, catalog_merge  # noqa: F401
 from casebook.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -118,8 +118,31 @@ SELECT conversation_id, 'v2-' || COALESCE(category, 'x') AS ticket_category,
 FROM c WHERE k % 21 = 0
 """
 
-DEPS = {"ts": ["t"], "ms": ["m"], "stg": ["c"]}
-BODIES = {"t": T, "ts": TS, "m": M, "ms": MS, "c": C, "clu": CLU, "dir": DIR, "stg": STG}
+UPD = """
+SELECT CAST(o_orderkey AS VARCHAR) AS conversation_id,
+  CASE WHEN o_orderkey % 2 <> 0 THEN 'new-' || o_orderpriority END AS category,
+  CAST(NULL AS VARCHAR) AS sub_category, 'u' || CAST(o_orderkey AS VARCHAR) AS reasoning,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'fixed' END AS resolution, 1 AS arrival
+FROM orders WHERE o_orderkey % 5 = 0
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), 'second', NULL, NULL, NULL, 2 FROM orders WHERE o_orderkey % 10 = 0
+"""
+
+# Migration label variants on the fixture custom fields.
+LABEL_A = "concat_ws(' - ', NULLIF(f_cat, ''), NULLIF(f_sub, ''))"
+LABEL_B = ("CASE WHEN COALESCE(f_cat, '') IN ('', 'None') THEN '' WHEN COALESCE(f_sub, '') IN ('', 'None') "
+           "THEN f_cat ELSE f_cat || ' - ' || f_sub END")
+
+# Pending write-back rows (category and resolution set, never written), with cluster.
+PEND = """
+SELECT c.conversation_id, c.k, c.category, c.sub_category, c.resolution, clu.cluster_name AS cluster, c.created_at
+FROM c LEFT JOIN clu ON c.conversation_id = clu.ticket_id
+WHERE c.category IS NOT NULL AND c.resolution IS NOT NULL AND c.updated_time IS NULL
+"""
+
+DEPS = {"ts": ["t"], "ms": ["m"], "stg": ["c"], "pend": ["c", "clu"]}
+BODIES = {"t": T, "ts": TS, "m": M, "ms": MS, "c": C, "clu": CLU, "dir": DIR, "stg": STG, "upd": UPD,
+          "pend": PEND}
 
 
 def with_(*names: str, extra: list[tuple[str, str]] | None = None) -> str:

@@ -243,3 +243,28 @@ def migration_log(orders: DataFrame, customer: DataFrame, cfg: Settings = FIXTUR
                     F.lit(": "), q(cat), F.lit(" + "), q(sub), F.lit(" -> "), q(label_a(cat, sub)))
     copies = F.when(F.col("k") % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return t.select(line.alias("value"), F.explode(copies).alias("_copy")).select("value")
+
+
+def classification_updates(orders: DataFrame) -> DataFrame:
+    """Partial classification updates (``arrival`` orders them): one for
+    k % 5 = 0 and a later one for k % 10 = 0; NULL means 'no new value'."""
+    k = F.col("o_orderkey")
+    first = orders.where(k % 5 == 0).select(
+        _s(k).alias("conversation_id"),
+        F.when(k % 2 != 0, F.concat(F.lit("new-"), F.col("o_orderpriority"))).alias("category"),
+        F.lit(None).cast("string").alias("sub_category"),
+        F.concat(F.lit("u"), _s(k)).alias("reasoning"),
+        F.when(k % 3 == 0, F.lit("fixed")).alias("resolution"),
+        F.lit(1).alias("arrival"),
+    )
+    second = orders.where(k % 10 == 0).select(
+        _s(k).alias("conversation_id"), F.lit("second").alias("category"),
+        F.lit(None).cast("string").alias("sub_category"), F.lit(None).cast("string").alias("reasoning"),
+        F.lit(None).cast("string").alias("resolution"), F.lit(2).alias("arrival"),
+    )
+    return first.unionByName(second)
+
+
+def requested_ids(part: DataFrame) -> DataFrame:
+    """Requested ticket ids (``id``): 11 x partkey, so some exist and some do not."""
+    return part.select(_s(F.col("p_partkey") * 11).alias("id"))
