@@ -268,3 +268,15 @@ def classification_updates(orders: DataFrame) -> DataFrame:
 def requested_ids(part: DataFrame) -> DataFrame:
     """Requested ticket ids (``id``): 11 x partkey, so some exist and some do not."""
     return part.select(_s(F.col("p_partkey") * 11).alias("id"))
+
+
+def thread_documents(conversations: DataFrame, cfg: Settings = FIXTURE_SETTINGS) -> DataFrame:
+    """Conversation documents with their messages embedded (``messages[].content``
+    in turn order), built from the message fixture. Assembled with an ordered
+    ``listagg`` of per-message JSON, which Spark pre-aggregates map-side."""
+    m = message_rows(conversations, cfg).select("conversationId", F.col("timestamp"),
+                                                 F.to_json(F.struct(F.col("text").alias("content"))).alias("j"))
+    g = m.groupBy("conversationId").agg(F.expr("listagg(j, ',') WITHIN GROUP (ORDER BY timestamp)").alias("arr"))
+    return g.select(F.col("conversationId").alias("id"),
+                    F.concat(F.lit('{"id":"'), F.col("conversationId"), F.lit('","messages":['), F.col("arr"),
+                             F.lit("]}")).alias("data"))
