@@ -280,3 +280,20 @@ def thread_documents(conversations: DataFrame, cfg: Settings = FIXTURE_SETTINGS)
     return g.select(F.col("conversationId").alias("id"),
                     F.concat(F.lit('{"id":"'), F.col("conversationId"), F.lit('","messages":['), F.col("arr"),
                              F.lit("]}")).alias("data"))
+
+
+def reaction_replies(conversations: DataFrame, cfg: Settings = FIXTURE_SETTINGS) -> DataFrame:
+    """Stored chat-API replies per message (``id``, ``reply`` JSON text):
+    a failure for (conv_id + turn) % 19 = 0, else the message with its text,
+    user, type, subtype and one reaction on even turns."""
+    cv = conversations.select("conv_id", "turn", "role", "text")
+    cid, turn = F.col("conv_id"), F.col("turn")
+    bad = (cid + turn) % 19 == 0
+    msg = F.struct(
+        F.col("text").alias("text"), F.concat(F.lit("U"), _s(cid % 7)).alias("user"), F.lit("message").alias("type"),
+        F.when(F.col("role") == "system", F.lit("bot_message")).alias("subtype"),
+        F.when(turn % 2 == 0, F.array(F.struct(F.lit("eyes").alias("name"))))
+        .otherwise(F.array().cast("array<struct<name:string>>")).alias("reactions"))
+    body = F.when(bad, F.to_json(F.struct(F.lit(False).alias("ok"), F.lit("missing_scope").alias("error")))) \
+        .otherwise(F.to_json(F.struct(F.lit(True).alias("ok"), msg.alias("message"))))
+    return cv.select(F.concat(_s(cid), F.lit("-"), _s(turn)).alias("id"), body.alias("reply"))
