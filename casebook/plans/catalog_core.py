@@ -123,3 +123,23 @@ def q_thread_text(spark, sf_dir):
     from casebook.functions.columns import nonblank_text
     th = threads.thread_summary(m.where(nonblank_text("text")), CFG.thread_separator, with_flag=False)
     return th
+
+
+@query("sql_file", with_("ts") + """
+SELECT sourceType, status, COUNT(*) AS n FROM ts GROUP BY sourceType, status""")
+def q_sql_file(spark, sf_dir):
+    import os
+
+    from casebook.sources.sqlfile import run_sql_file
+    t = silver.tickets_silver(Fixture(spark, sf_dir).tickets_raw(), CFG)
+    path = os.path.join(os.path.dirname(os.path.abspath(__file__)), "sql", "ticket_counts.sql")
+    return run_sql_file(spark, path, {"tickets": t})
+
+
+@query("summary_inputs", _EXTRACT_SQL.replace(
+    "SELECT " + _EXTRACT_COLS + ", COALESCE(e.esc, false) AS internalEscalation, ts.creation_week, ts.age,\n"
+    "  e.allMessages, c.category AS ai_category, c.sub_category, c.reasoning, c.resolution",
+    "SELECT ts.id AS conversation_id, ts.ticketType, e.allMessages AS message_content"))
+def q_summary_inputs(spark, sf_dir):
+    fx = Fixture(spark, sf_dir)
+    return threads.summary_inputs(threads.ticket_extract(fx.tickets_raw(), fx.messages_raw(), fx.classes(), CFG))
