@@ -89,13 +89,13 @@ def backfill(ids: DataFrame, staging: DataFrame, live_docs: DataFrame, thread_do
 
 
 def apply_backfill(resolved: DataFrame, send: writeback.Send) -> DataFrame:
-    """Send the truthy-only payload of every resolved row; rows with an empty
-    payload are not sent and fail. Adds ``ok`` (NULL for rows without data)."""
-    todo = resolved.where(F.col("source") != "none").select(
-        "conversation_id", F.when(F.cardinality("fields") > 0, F.to_json("fields")).alias("payload")).distinct()
-    out = writeback.write_back(todo, send, key="conversation_id").select(
-        F.col("id").alias("conversation_id"), "ok")
-    return resolved.join(out, "conversation_id", "left")
+    """Send the truthy-only payload of every resolved row (one pass; rows are
+    carried through the writer). Rows with an empty payload are not sent and
+    fail; rows without data are skipped and get ``ok`` NULL."""
+    rows = resolved.withColumn("payload", F.when(F.cardinality("fields") > 0, F.to_json("fields"))) \
+        .withColumn("no_data", F.col("source") == "none").drop("fields")
+    out = writeback.write_back(rows, send, key="conversation_id", skip="no_data", keep=True)
+    return out.withColumn("ok", F.when(~F.col("no_data"), F.col("ok"))).drop("payload", "no_data", "error")
 
 
 def backfill_funnel(applied: DataFrame) -> DataFrame:

@@ -56,15 +56,15 @@ def reaction_flags(tickets: DataFrame, reactions: DataFrame, emoji: str) -> Data
 
 def reaction_plan(flags: DataFrame, send: writeback.Send) -> DataFrame:
     """``(conversation_id, status)``: 'skipped' when the emoji is already there,
-    else the writer's outcome 'added' / 'failed'."""
-    todo = flags.where(~F.col("has_emoji")).select(
-        "conversation_id", F.to_json(F.struct(F.col("chat_channel_id").alias("channel"),
-                                              F.col("chat_timestamp").alias("timestamp"))).alias("payload"))
-    out = writeback.write_back(todo, send, key="conversation_id")
-    added = out.select(F.col("id").alias("conversation_id"),
-                       F.when(F.col("ok"), F.lit("added")).otherwise(F.lit("failed")).alias("status"))
-    skipped = flags.where(F.col("has_emoji")).select("conversation_id", F.lit("skipped").alias("status"))
-    return added.unionByName(skipped)
+    else the writer's outcome 'added' / 'failed' (one pass over the tickets)."""
+    todo = flags.select(
+        "conversation_id", "has_emoji",
+        F.to_json(F.struct(F.col("chat_channel_id").alias("channel"),
+                           F.col("chat_timestamp").alias("timestamp"))).alias("payload"))
+    out = writeback.write_back(todo, send, key="conversation_id", skip="has_emoji", keep=True)
+    status = (F.when(F.col("has_emoji"), F.lit("skipped")).when(F.col("ok"), F.lit("added"))
+              .otherwise(F.lit("failed")))
+    return out.select("conversation_id", status.alias("status"))
 
 
 def simulated_bucket(tickets: DataFrame, modulus: int = 10) -> DataFrame:

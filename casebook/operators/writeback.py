@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook import schemas
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 Send = Callable[[str, str], None]  # raises on failure
 
@@ -43,13 +43,24 @@ def pending_updates(classes: DataFrame, clusters: DataFrame, limit: int | None =
     return out
 
 
-def sink_rows(send: Send, key: str = "id", body: str = "payload", attempts: int = 3):
-    """``mapInPandas`` function: send every row, return one outcome per row."""
+def sink_rows(send: Send, key: str, body: str, skip: str | None = None, attempts: int = 3):
+    """``mapInPandas`` function: send every row once (bounded retry) and append
+    ``ok`` / ``error``. A NULL body is not sent ('empty payload'); rows with
+    ``skip`` set are not sent either and count as done ('skipped')."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, oks, errs = [], [], []
-            for k, b in zip(pdf[key], pdf[body]):
+            oks, errs = [], []
+            skips = pdf[skip] if skip else [False] * len(pdf)
+            for k, b, sk in zip(pdf[key], pdf[body], skips):
+                if sk is not None and sk is not pd.NA and bool(sk):
+                    oks.append(True)
+                    errs.append(SKIPPED)
+                    continue
+                if b is None or b is pd.NA or (isinstance(b, float) and b != b):
+                    oks.append(False)
+                    errs.append(EMPTY)
+                    continue
                 err = None
                 for _ in range(attempts):
                     try:
@@ -58,27 +69,37 @@ def sink_rows(send: Send, key: str = "id", body: str = "payload", attempts: int
                         break
                     except Exception as e:  # noqa: BLE001
                         err = str(e) or type(e).__name__
-                ids.append(k)
                 oks.append(err is None)
                 errs.append(err)
-            yield pd.DataFrame({"id": ids, "ok": oks, "error": errs})
+            out = pdf.copy()
+            out["ok"] = oks
+            out["error"] = errs
+            yield out
 
     return run
 
 
-def write_back(df: DataFrame, send: Send, key: str = "id", body: str = "payload",
-               partitions: int | None = None) -> DataFrame:
-    """Send ``body`` for every row and return ``(id, ok, error)``. Rows whose
-    body is NULL are not sent and count as failures ('empty payload').
+SKIPPED = "skipped"
+EMPTY = "empty payload"
+
+
+def write_back(df: DataFrame, send: Send, key: str = "id", body: str = "payload", skip: str | None = None,
+               partitions: int | None = None, keep: bool = False) -> DataFrame:
+    """Send ``body`` of every row and return the outcome per row in one pass.
+
+    Without ``keep`` the result is ``(id, ok, error)``; with ``keep`` every
+    input column is carried through and ``ok`` / ``error`` are appended, so
+    callers never join the outcome back to a recomputed input. Rows with a
+    NULL body fail with 'empty payload'; rows with ``skip`` true are not sent.
     ``partitions`` caps concurrent connections to the remote system."""
-    src = df.select(F.col(key).cast("string").alias("id"), F.col(body).alias("payload"))
-    empty = src.where(F.col("payload").isNull()).select(
-        "id", F.lit(False).alias("ok"), F.lit("empty payload").alias("error"))
-    todo = src.where(F.col("payload").isNotNull())
+    cols = df.columns if keep else [key, body] + ([skip] if skip else [])
+    src = df.select(*cols)
     if partitions:
-        todo = todo.repartition(partitions, "id")
-    sent = todo.mapInPandas(sink_rows(send), schemas.OUTCOME)
-    return sent.unionByName(empty)
+        src = src.repartition(partitions)
+    schema = StructType(list(src.schema.fields) + [StructField("ok", BooleanType()),
+                                                   StructField("error", StringType())])
+    out = src.mapInPandas(sink_rows(send, key, body, skip), schema)
+    return out if keep else out.select(F.col(key).cast("string").alias("id"), "ok", "error")
 
 
 class KeyModuloFailures:

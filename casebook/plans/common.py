@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from casebook.config import FIXTURE_SETTINGS
@@ -9,27 +11,55 @@ from casebook.sources import fixtures as fx
 from casebook.sources.tables import Tables
 
 CFG = FIXTURE_SETTINGS
+_CACHE: dict[tuple[int, str], tuple[SparkSession, "Fixture"]] = {}
 
 
 class Fixture:
-    """Lazily derived fixture DataFrames of one scale-factor folder."""
+    """Derived fixture DataFrames of one scale-factor folder.
+
+    Instances are shared per (session, folder) so the logical plans are built
+    once; they are plans, not cached data, so every query still reads the
+    tables.
+    """
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), sf_dir)
+        hit = _CACHE.get(key)
+        if hit is not None and hit[0] is spark:
+            return hit[1]
+        obj = super().__new__(cls)
+        obj._init(spark, sf_dir)
+        _CACHE[key] = (spark, obj)
+        return obj
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def _init(self, spark: SparkSession, sf_dir: str) -> None:
         self.t = Tables(spark, sf_dir)
         self.spark = spark
 
-    def tickets_raw(self) -> DataFrame:
+    @functools.cached_property
+    def _tickets_raw(self) -> DataFrame:
         return fx.ticket_documents(self.t.orders, self.t.customer, CFG)
 
-    def messages_raw(self) -> DataFrame:
+    def tickets_raw(self) -> DataFrame:
+        return self._tickets_raw
+
+    @functools.cached_property
+    def _messages_raw(self) -> DataFrame:
         return fx.message_documents(self.t.conversations, CFG)
 
+    def messages_raw(self) -> DataFrame:
+        return self._messages_raw
+
     def customers_raw(self) -> DataFrame:
         return fx.customer_documents(self.t.customer)
 
-    def classes(self) -> DataFrame:
+    @functools.cached_property
+    def _classes(self) -> DataFrame:
         return fx.classifications(self.t.orders)
 
+    def classes(self) -> DataFrame:
+        return self._classes
+
     def clusters(self) -> DataFrame:
         return fx.clusters(self.t.orders)
 

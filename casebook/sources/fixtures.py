@@ -103,9 +103,14 @@ def ticket_rows(orders: DataFrame, customer: DataFrame, cfg: Settings = FIXTURE_
 _DOC_DROP = ("k", "n")
 
 
-def ticket_documents(orders: DataFrame, customer: DataFrame, cfg: Settings = FIXTURE_SETTINGS) -> DataFrame:
-    """Bronze ticket documents ``(id, data)``: one JSON text per order."""
+def ticket_documents(orders: DataFrame, customer: DataFrame, cfg: Settings = FIXTURE_SETTINGS,
+                     partitions: int | None = None) -> DataFrame:
+    """Bronze ticket documents ``(id, data)``: one JSON text per order.
+    With ``partitions`` the rows are hash-partitioned by ``id`` first (as a
+    bronze table bucketed by its key would be)."""
     rows = ticket_rows(orders, customer, cfg)
+    if partitions is not None:
+        rows = rows.repartition(partitions, "id") if partitions > 0 else rows.repartition("id")
     body = F.struct(*[c for c in rows.columns if c not in _DOC_DROP])
     return rows.select("id", F.to_json(body).alias("data"))
 
