@@ -129,3 +129,39 @@ class PagedFeed(DataSource):
 
 def register(spark) -> None:
     spark.dataSource.register(PagedFeed)
+
+
+DETAIL_SCHEMA = "id string, data string, error string"
+
+
+def fetch_details(ids, fetcher: str, attempts: int = 3, partitions: int | None = None):
+    """Per-id detail fetch (S3): ``ids`` (column ``id``) -> ``(id, data, error)``.
+
+    Runs in Python tasks through ``mapInPandas``; an id that still fails after
+    ``attempts`` tries keeps its error text instead of being dropped, so the
+    caller can split good rows from a dead-letter set. ``partitions`` caps
+    concurrent requests."""
+    src = ids.select(ids["id"].cast("string").alias("id"))
+    if partitions:
+        src = src.repartition(partitions, "id")
+
+    def run(batches):
+        import pandas as pd
+
+        fetch = load_fetcher(fetcher)
+        for pdf in batches:
+            data, errs = [], []
+            for k in pdf["id"]:
+                err, body = None, None
+                for _ in range(attempts):
+                    try:
+                        body = json.dumps(fetch("conversation", {"id": k}, None, 1))
+                        err = None
+                        break
+                    except Exception as e:  # noqa: BLE001
+                        err = str(e) or type(e).__name__
+                data.append(body)
+                errs.append(err)
+            yield pd.DataFrame({"id": pdf["id"], "data": data, "error": errs})
+
+    return src.mapInPandas(run, DETAIL_SCHEMA)
