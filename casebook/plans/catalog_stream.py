@@ -38,7 +38,7 @@ def q_stream_upsert(spark, sf_dir):
     ev = Fixture(spark, sf_dir).t.events.select("user_id", "event_id", "ts", "event_type", "value", "props")
     _stage(ev.withColumn("_s", F.col("event_id")), f"{run}/in", 3, "_s")
     snap = BucketedSnapshot(f"{run}/snapshot", "user_id", ev.schema, buckets=16)
-    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{run}/in")
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 8).parquet(f"{run}/in")
     jobs.start_upsert_stream(src, snap, "event_id", f"{run}/checkpoint").awaitTermination()
     return snap.read(spark)
 
@@ -55,7 +55,7 @@ def q_stream_sync(spark, sf_dir):
     old.write.mode("append").parquet(f"{run}/in")
     _stage(docs.withColumn("_s", F.col("id").cast("long")), f"{run}/in", 2, "_s")
     snap = BucketedSnapshot(f"{run}/snapshot", "id", docs.schema, buckets=16)
-    src = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
+    src = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 8).parquet(f"{run}/in")
     jobs.start_upsert_stream(src, snap, "updatedAt", f"{run}/checkpoint").awaitTermination()
     return snap.read(spark).select("id", "updatedAt")
 
@@ -81,7 +81,7 @@ def q_stream_work_queue(spark, sf_dir):
         .withColumn("payload", F.to_json(F.struct("category", "resolution"))) \
         .select("conversation_id", "payload")
     _stage(pend.withColumn("_s", F.col("conversation_id").cast("long")), f"{run}/in", 2, "_s")
-    src = spark.readStream.schema("conversation_id string, payload string").option("maxFilesPerTrigger", 4) \
+    src = spark.readStream.schema("conversation_id string, payload string").option("maxFilesPerTrigger", 8) \
         .parquet(f"{run}/in")
     jobs.start_work_queue(src, snap, writeback.KeyModuloFailures(17), RUN_TS, f"{run}/checkpoint") \
         .awaitTermination()
