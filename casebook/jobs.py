@@ -60,7 +60,7 @@ def classify_job(extract: DataFrame, classes: BucketedSnapshot, model: classify.
     if max_conversations:
         inputs = inputs.orderBy("id").limit(max_conversations)
     cases = classify.case_batches(inputs, "id", "allMessages", batch_size)
-    replies = classify.classify(classify.prompt_batches(cases), model).checkpoint(eager=True)
+    replies = classify.classify(classify.prompt_batches(cases), model)
     res = classify.align_replies(cases, replies, "id").withColumnRenamed("id", "conversation_id") \
         .withColumn("arrival", F.lit(1))
     cols = ["category", "sub_category", "reasoning", "resolution"]

@@ -15,6 +15,7 @@ from casebook import schemas
 from casebook.config import EMPTY_MIGRATION_MARKER, MIGRATED_ID_PATTERN, Settings
 from casebook.functions import columns as C
 from casebook.operators import classify, fields, merge, writeback
+from casebook.session import checkpoint_dir
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +58,10 @@ def backfill(ids: DataFrame, staging: DataFrame, live_docs: DataFrame, thread_do
         cfg, "f").select(F.col("id").alias("conversation_id"), F.col("category").alias("live_cat"),
                          F.col("sub_category").alias("live_sub"),
                          fields.field("f", cfg.resolution_field_id).alias("live_res"))
-    base = ids.join(wh, "conversation_id", "left").join(live, "conversation_id", "left")
+    # The tier table is read twice (residue for the model, final pick): cut it
+    # once to the shared checkpoint folder instead of deriving it twice.
+    checkpoint_dir(ids.sparkSession)
+    base = ids.join(wh, "conversation_id", "left").join(live, "conversation_id", "left").checkpoint(eager=True)
     need_model = base.where(~C.usable("ticket_category") & ~C.usable("live_cat")).select("conversation_id").distinct()
     content = embedded_thread(thread_docs, cfg.embedded_separator) \
         .where(F.col("content") != "").withColumnRenamed("id", "conversation_id")

@@ -27,6 +27,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from casebook import schemas
 from casebook.config import ERROR_LABEL, NONE_TEXT, PROMPT_FOOTER, PROMPT_HEADER, SINGLE_PROMPT
+from casebook.session import checkpoint_dir
 
 Model = Callable[[int, str], str]  # (batch_id, prompt) -> reply text; may raise
 
@@ -84,13 +85,22 @@ def call_model(model: Model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
     return run
 
 
-def classify(prompts: DataFrame, model: Model, partitions: int | None = None) -> DataFrame:
+def classify(prompts: DataFrame, model: Model, partitions: int | None = None, persist: bool = True) -> DataFrame:
     """Raw model reply per batch: ``(batch_id, reply, call_error)``.
-    ``partitions`` caps concurrent model calls."""
+
+    ``partitions`` caps concurrent model calls. With ``persist`` (default) the
+    replies are checkpointed to the shared ``spark.checkpoint.dir`` right after
+    the calls: the model runs once per batch, later reads (parsing, error
+    detection) see the same replies, and a lost executor does not trigger new
+    (possibly different, paid) model calls."""
     src = prompts.select("batch_id", "prompt")
     if partitions:
         src = src.repartition(partitions, "batch_id")
-    return src.mapInPandas(call_model(model), REPLY)
+    out = src.mapInPandas(call_model(model), REPLY)
+    if persist:
+        checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def _error_text(msg: Column) -> Column:
