@@ -21,11 +21,22 @@ def parse_documents(raw: DataFrame, schema) -> DataFrame:
     return raw.where(F.col("data").isNotNull()).select("id", F.from_json("data", schema).alias("doc"))
 
 
+def parse_fields(raw: DataFrame, schema) -> DataFrame:
+    """Bronze ``(id, data)`` -> ``id`` plus every document field except ``id`` as a column.
+
+    The parse goes through ``inline(array(from_json(...)))``: filters on parsed
+    fields cannot be pushed below a generator, so each document is parsed once
+    even when a later ``where`` tests a parsed field (pushed through a plain
+    projection, the filter would re-run ``from_json`` on every row)."""
+    names = [f.name for f in schema.fields]
+    parsed = raw.where(F.col("data").isNotNull()).select(
+        F.col("id").alias("_key"), F.inline(F.array(F.from_json("data", schema))))
+    return parsed.select(F.col("_key").alias("id"), *[c for c in names if c != "id"])
+
+
 def ticket_fields(raw: DataFrame) -> DataFrame:
     """All parsed ticket fields as top-level columns (``id`` is the document key)."""
-    d = parse_documents(raw, schemas.TICKET_DOC)
-    return d.select("id", *[F.col("doc").getField(f.name).alias(f.name)
-                            for f in schemas.TICKET_DOC.fields if f.name != "id"])
+    return parse_fields(raw, schemas.TICKET_DOC)
 
 
 def tickets_silver(raw: DataFrame, cfg: Settings) -> DataFrame:
@@ -55,9 +66,7 @@ def messages_silver(raw: DataFrame, cfg: Settings, drop_empty: bool = True) -> D
 
     ``drop_empty`` keeps only messages whose text is present and not the
     two-quote literal (the raw-message listing)."""
-    d = parse_documents(raw, schemas.MESSAGE_DOC)
-    m = d.select("id", *[F.col("doc").getField(f.name).alias(f.name)
-                         for f in schemas.MESSAGE_DOC.fields if f.name != "id"])
+    m = parse_fields(raw, schemas.MESSAGE_DOC)
     snd = C.sender(F.col("user.email"), F.col("sentByUser.email"))
     out = m.select(
         "id", "conversationId", "timestamp", "updatedAt", "isPrivateNote", "botName",
