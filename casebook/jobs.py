@@ -59,7 +59,7 @@ def classify_job(extract: DataFrame, classes: BucketedSnapshot, model: classify.
     inputs = extract.select(F.col("id"), F.col("allMessages"))
     if max_conversations:
         inputs = inputs.orderBy("id").limit(max_conversations)
-    cases = classify.case_batches(inputs, "id", "allMessages", batch_size)
+    cases = classify.case_batches(inputs, "id", "allMessages", batch_size, mode="hash")
     replies = classify.classify(classify.prompt_batches(cases), model)
     res = classify.align_replies(cases, replies, "id").withColumnRenamed("id", "conversation_id") \
         .withColumn("arrival", F.lit(1))

@@ -35,17 +35,33 @@ REPLY = StructType([StructField("batch_id", LongType()), StructField("reply", St
                     StructField("call_error", StringType())])
 
 
-def case_batches(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``(batch_id, pos, key, text)`` with batches of consecutive integer keys
-    (``batch_id = key div size``) and 1-based positions by key inside a batch.
-    The window is partitioned by ``batch_id``, so each window group holds at
-    most ``size`` rows."""
+def case_batches(df: DataFrame, key: str, text: str, size: int, mode: str = "range") -> DataFrame:
+    """``(key, text, batch_id, pos)``: cases in batches of at most ``size``.
+
+    ``mode="range"`` (integer keys): ``batch_id = key div size`` and 1-based
+    positions by key; the window is partitioned by ``batch_id``, so a window
+    group holds at most ``size`` rows.
+
+    ``mode="hash"`` (any key, e.g. UUID strings): one count sizes
+    ``ceil(n / size)`` hash buckets of about ``size`` keys each; inside a
+    bucket keys are numbered in order and cut into batches of ``size``. The
+    window is partitioned by bucket, so its groups stay small whatever the
+    table size, and no global ordering is needed."""
     from pyspark.sql import Window
 
-    k = F.col(key).cast("long")
-    b = df.select(F.col(key), F.col(text).alias("text"), F.floor(k / size).alias("batch_id"))
-    w = Window.partitionBy("batch_id").orderBy(k)
-    return b.withColumn("pos", F.row_number().over(w))
+    if mode == "range":
+        k = F.col(key).cast("long")
+        b = df.select(F.col(key), F.col(text).alias("text"), F.floor(k / size).alias("batch_id"))
+        return b.withColumn("pos", F.row_number().over(Window.partitionBy("batch_id").orderBy(k)))
+    n = df.count()
+    buckets = max(1, -(-n // size))
+    stride = 1 << 24  # batches per bucket never reach this (a bucket holds ~size keys)
+    h = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+    b = df.select(F.col(key), F.col(text).alias("text"), h.alias("_bucket"))
+    pos0 = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(key))) - 1
+    b = b.withColumn("_p", pos0)
+    return b.select(key, "text", (F.col("_bucket") * stride + F.floor(F.col("_p") / size)).alias("batch_id"),
+                    (F.col("_p") % size + 1).cast("int").alias("pos"))
 
 
 def case_text(pos: Column, text: Column) -> Column:

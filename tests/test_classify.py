@@ -44,3 +44,18 @@ def test_prompt_batches_order(spark):
     body = p[0].prompt
     assert body.index("<Conversation>a<") < body.index("<Conversation>None<") < body.index("<Conversation>c<")
     assert body.startswith("Please classify each") and "Case 3:" in body
+
+
+def test_hash_batches_for_string_keys(spark):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    ids = [(str(uuid.UUID(int=i * 7919 + 13)), f"t{i}") for i in range(203)]
+    df = spark.createDataFrame(ids, "id string, t string")
+    cases = classify.case_batches(df, "id", "t", 5, mode="hash")
+    rows = cases.collect()
+    assert len(rows) == 203 and len({r.id for r in rows}) == 203
+    sizes = cases.groupBy("batch_id").agg(F.count("*").alias("n"), F.max("pos").alias("m"),
+                                          F.countDistinct("pos").alias("d")).collect()
+    assert all(r.n <= 5 and r.m == r.n == r.d for r in sizes)
