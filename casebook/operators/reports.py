@@ -12,9 +12,13 @@ def count_by(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def ordered_report(counts: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
-    """Report order: group keys ascending, count descending."""
-    return counts.orderBy(*[F.col(k).asc() for k in keys[:-1] or keys[:1]], F.col(name).desc())
+def ordered_report(counts: DataFrame, lead: list[str], name: str = "n", tie: list[str] | None = None) -> DataFrame:
+    """Report order: the ``lead`` group keys ascending, then the count
+    descending, then ``tie`` keys for a total order (the output of a group
+    count is small, so this sort is cheap)."""
+    order = [F.col(k).asc_nulls_first() for k in lead] + [F.col(name).desc()]
+    order += [F.col(k).asc_nulls_first() for k in (tie or [])]
+    return counts.orderBy(*order)
 
 
 def progress_counts(df: DataFrame, col: str) -> DataFrame:

@@ -74,21 +74,23 @@ def q_customers_silver(spark, sf_dir):
 SELECT sourceType, status, COUNT(*) AS n FROM ts GROUP BY sourceType, status""")
 def q_status_remap_counts(spark, sf_dir):
     t = silver.tickets_silver(Fixture(spark, sf_dir).tickets_raw(), CFG)
-    return reports.count_by(t, ["sourceType", "status"])
+    return reports.ordered_report(reports.count_by(t, ["sourceType", "status"]), ["sourceType"], tie=["status"])
 
 
 @query("counts_by_tag", with_("t") + """
 SELECT first_tag AS first_tag, COUNT(*) AS n FROM t GROUP BY first_tag""")
 def q_counts_by_tag(spark, sf_dir):
     t = silver.ticket_fields(Fixture(spark, sf_dir).tickets_raw())
-    return reports.count_by(t.select(F.get(F.col("customer.tags"), 0).getField("name").alias("first_tag")),
-                            ["first_tag"])
+    counts = reports.count_by(t.select(F.get(F.col("customer.tags"), 0).getField("name").alias("first_tag")),
+                              ["first_tag"])
+    return reports.ordered_report(counts, [], tie=["first_tag"])
 
 
 @query("counts_by_category", with_("c") + """
 SELECT category, sub_category, COUNT(*) AS cases FROM c GROUP BY category, sub_category""")
 def q_counts_by_category(spark, sf_dir):
-    return reports.count_by(Fixture(spark, sf_dir).classes(), ["category", "sub_category"], name="cases")
+    counts = reports.count_by(Fixture(spark, sf_dir).classes(), ["category", "sub_category"], name="cases")
+    return reports.ordered_report(counts, ["category"], name="cases", tie=["sub_category"])
 
 
 @query("weekly_created", with_("ts") + """
