@@ -23,9 +23,12 @@ def spread(df: DataFrame) -> DataFrame:
     projections) then runs on one core. Round-robin repartitioning to the
     default parallelism fixes that; column pruning still reaches the scan.
     Large tables have many splits, so for them this is a no-op (no shuffle).
+    The target is capped at 16 partitions per existing split, so a tiny table
+    on a large cluster is not cut into thousands of empty tasks.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    splits = df.rdd.getNumPartitions()
+    target = min(df.sparkSession.sparkContext.defaultParallelism, max(8, 16 * splits))
+    return df.repartition(target) if splits < target else df
 
 
 class Tables:
