@@ -37,3 +37,23 @@ def test_split_range_covers_days():
     s = split_range("2024-03-01", "2024-03-10", 3)
     assert s[0]["modifiedAfter"] == "2024-03-01" and s[-1]["modifiedBefore"] == "2024-03-10"
     assert len(s) == 3
+
+
+def test_stream_sync_upserts_every_record(spark):
+    import os
+    import uuid
+
+    from casebook.session import scratch_path
+    from casebook.streaming import jobs
+    from casebook.streaming.snapshot import BucketedSnapshot
+
+    register(spark)
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(os.path.abspath(__file__)), "fake_feed.py"))
+    run = scratch_path(spark, f"feed-stream-{uuid.uuid4().hex}")
+    src = (spark.readStream.format("paged_feed").option("fetcher", "fake_feed:fetch").option("pageSize", "10")
+           .option("startingAfter", "2024-01-01").option("numPartitions", "4").load())
+    snap = BucketedSnapshot(f"{run}/snapshot", "id", spark.range(0).selectExpr(
+        "cast(null as string) id", "cast(null as string) updatedAt", "cast(null as string) data").schema, buckets=4)
+    jobs.start_upsert_stream(src, snap, "updatedAt", f"{run}/checkpoint").awaitTermination()
+    out = snap.read(spark)
+    assert out.count() == 57 and out.select("id").distinct().count() == 57
