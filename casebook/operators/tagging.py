@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
-from casebook.config import PREVIEW_CHARS, Settings
+from casebook.config import PREVIEW_CHARS, TITLE_PREVIEW_CHARS, Settings
 from casebook.functions import columns as C
 from casebook.operators import writeback
 
@@ -55,16 +55,33 @@ def reaction_flags(tickets: DataFrame, reactions: DataFrame, emoji: str) -> Data
 
 
 def reaction_plan(flags: DataFrame, send: writeback.Send) -> DataFrame:
-    """``(conversation_id, status)``: 'skipped' when the emoji is already there,
-    else the writer's outcome 'added' / 'failed' (one pass over the tickets)."""
-    todo = flags.select(
-        "conversation_id", "has_emoji",
-        F.to_json(F.struct(F.col("chat_channel_id").alias("channel"),
-                           F.col("chat_timestamp").alias("timestamp"))).alias("payload"))
+    """Every flagged ticket plus ``status``: 'skipped' when the emoji is already
+    there, else the writer's outcome 'added' / 'failed' (one pass; the input
+    columns are carried through the writer)."""
+    todo = flags.withColumn(
+        "payload", F.to_json(F.struct(F.col("chat_channel_id").alias("channel"),
+                                      F.col("chat_timestamp").alias("timestamp"))))
     out = writeback.write_back(todo, send, key="conversation_id", skip="has_emoji", keep=True)
     status = (F.when(F.col("has_emoji"), F.lit("skipped")).when(F.col("ok"), F.lit("added"))
               .otherwise(F.lit("failed")))
-    return out.select("conversation_id", status.alias("status"))
+    return out.withColumn("status", status).drop("payload", "ok", "error")
+
+
+def link_records(plan: DataFrame, cfg: Settings) -> DataFrame:
+    """One record per processed ticket: deep link, success (added or already
+    there), and the title cut to 50 characters for the run listing."""
+    title = F.concat(F.substring(F.coalesce(F.col("title"), F.lit("No title")), 1, TITLE_PREVIEW_CHARS),
+                     F.lit("..."))
+    return plan.select("conversation_id", C.deep_link("chat_channel_id", "chat_timestamp", cfg.link_base).alias("link"),
+                       (F.col("status") != "failed").alias("success"), title.alias("title_line"))
+
+
+def tag_summary(records: DataFrame) -> DataFrame:
+    """Run totals: processed, successful, failed, success rate in percent (0 when empty)."""
+    s = records.agg(F.count(F.lit(1)).alias("total_processed"), F.count_if("success").alias("total_successful"),
+                    F.count_if(~F.col("success")).alias("total_failed"))
+    rate = F.coalesce(F.try_divide(F.col("total_successful") * F.lit(100.0), F.col("total_processed")), F.lit(0.0))
+    return s.withColumn("success_rate", rate)
 
 
 def simulated_bucket(tickets: DataFrame, modulus: int = 10) -> DataFrame:

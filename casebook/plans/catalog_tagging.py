@@ -70,7 +70,35 @@ def q_reaction_exists(spark, sf_dir):
 SELECT conversation_id, CASE WHEN has_emoji THEN 'skipped' WHEN k % 19 = 0 THEN 'failed' ELSE 'added' END AS status
 FROM ({_FLAGS}) q""")
 def q_reaction_plan(spark, sf_dir):
-    return tagging.reaction_plan(_flags(spark, sf_dir), writeback.KeyModuloFailures(19))
+    return tagging.reaction_plan(_flags(spark, sf_dir), writeback.KeyModuloFailures(19)) \
+        .select("conversation_id", "status")
+
+
+_RECORDS = f"""
+SELECT conversation_id,
+  '{CFG.link_base}?channel=' || chat_channel_id || '&message_ts=' || {_LINK_TS} AS link,
+  NOT (NOT has_emoji AND k % 19 = 0) AS success,
+  substr(COALESCE(title, 'No title'), 1, 50) || '...' AS title_line
+FROM ({_FLAGS}) q"""
+
+
+def _records(spark, sf_dir):
+    plan = tagging.reaction_plan(_flags(spark, sf_dir), writeback.KeyModuloFailures(19))
+    return tagging.link_records(plan, CFG)
+
+
+@query("tagging_links", with_("t", extra=[("open", _OPEN), ("react", _REACT)]) + _RECORDS)
+def q_tagging_links(spark, sf_dir):
+    return _records(spark, sf_dir)
+
+
+@query("tagging_summary", with_("t", extra=[("open", _OPEN), ("react", _REACT), ("rec", _RECORDS)]) + """
+SELECT COUNT(*) AS total_processed, COUNT(*) FILTER (WHERE success) AS total_successful,
+  COUNT(*) FILTER (WHERE NOT success) AS total_failed,
+  COALESCE(CAST(COUNT(*) FILTER (WHERE success) AS DOUBLE) * 100.0 / NULLIF(COUNT(*), 0), 0.0) AS success_rate
+FROM rec""")
+def q_tagging_summary(spark, sf_dir):
+    return tagging.tag_summary(_records(spark, sf_dir))
 
 
 _BUCKET = """((CAST('0x' || substr(h, 1, 8) AS BIGINT) * 6) % 10 + (CAST('0x' || substr(h, 9, 8) AS BIGINT) * 6) % 10

@@ -198,3 +198,37 @@ def fetch_details(ids, fetcher: str, attempts: int = 3, partitions: int | None =
             yield pd.DataFrame({"id": pdf["id"], "data": data, "error": errs})
 
     return src.mapInPandas(run, DETAIL_SCHEMA)
+
+
+PAGES_SCHEMA = "key string, id string, updatedAt string, data string, error string"
+
+
+def fetch_pages_per_key(keys, fetcher: str, entity: str = "messages", key_filter: str = "conversationId",
+                        page_size: int = 200, attempts: int = 3, partitions: int | None = None):
+    """Follow one cursor chain per key (S5: the messages of each conversation).
+
+    ``keys`` has a ``key`` column; every key becomes the filter
+    ``{key_filter: key}`` and its pages are read inside an executor task
+    (``mapInPandas``), so millions of conversations spread over the cluster.
+    A key whose chain fails after ``attempts`` tries yields one row with its
+    error and no record (dead letter) instead of failing the job."""
+    src = keys.select(keys["key"].cast("string").alias("key"))
+    if partitions:
+        src = src.repartition(partitions, "key")
+    opts = {"entity": entity, "pagesize": str(page_size), "attempts": str(attempts), "fetcher": fetcher}
+
+    def run(batches):
+        import pandas as pd
+
+        reader = PagedReader(opts)
+        for pdf in batches:
+            out = []
+            for k in pdf["key"]:
+                try:
+                    rows = list(reader.read(Shard({key_filter: k})))
+                    out += [(k, i, u, d, None) for i, u, d in rows]
+                except Exception as e:  # noqa: BLE001
+                    out.append((k, None, None, None, str(e) or type(e).__name__))
+            yield pd.DataFrame(out, columns=["key", "id", "updatedAt", "data", "error"])
+
+    return src.mapInPandas(run, PAGES_SCHEMA)

@@ -57,3 +57,16 @@ def test_stream_sync_upserts_every_record(spark):
     jobs.start_upsert_stream(src, snap, "updatedAt", f"{run}/checkpoint").awaitTermination()
     out = snap.read(spark)
     assert out.count() == 57 and out.select("id").distinct().count() == 57
+
+
+def test_pages_per_key_follow_each_chain(spark):
+    import os
+
+    from casebook.sources.paged import fetch_pages_per_key
+
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(os.path.abspath(__file__)), "fake_feed.py"))
+    keys = spark.createDataFrame([("c1",), ("c2",)], "key string")
+    out = fetch_pages_per_key(keys, "fake_feed:fetch", page_size=10)
+    rows = out.collect()
+    assert len(rows) == 2 * 57 and all(r.error is None for r in rows)
+    assert {r.key for r in rows} == {"c1", "c2"}
