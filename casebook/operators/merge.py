@@ -16,6 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def ts_literal(ts: _dt.datetime) -> Column:
+    """A timestamp literal read as wall-clock time in the session time zone
+    (``F.lit(datetime)`` would go through the Python process's zone)."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
 def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """One row per key: the row with the greatest ``order`` (ties: greatest row)."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -51,7 +57,7 @@ def upsert_coalesce(current: DataFrame, updates: DataFrame, key: str, cols: list
     out = [F.coalesce(F.col(f"o.{key}"), F.col(f"n.{key}")).alias(key)]
     out += [F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) for c in cols]
     is_new = F.col(f"o.{key}").isNull()
-    out.append(F.when(is_new, F.lit(run_ts)).otherwise(F.col(f"o.{created_col}")).alias(created_col))
+    out.append(F.when(is_new, ts_literal(run_ts)).otherwise(F.col(f"o.{created_col}")).alias(created_col))
     out.append(F.when(is_new, F.lit(None)).otherwise(F.col(f"o.{updated_col}")).alias(updated_col))
     return j.select(*out)
 
@@ -61,7 +67,7 @@ def mark_updated(current: DataFrame, outcomes: DataFrame, key: str, run_ts: _dt.
     """Set ``updated_col = run_ts`` on rows whose write-back succeeded at least once."""
     done = outcomes.where(F.col("ok")).select(F.col(outcome_key).alias("_k")).distinct()
     j = current.join(done, current[key] == done["_k"], "left")
-    return j.select(*[F.when(F.col("_k").isNotNull(), F.lit(run_ts).cast("timestamp")).otherwise(F.col(c)).alias(c)
+    return j.select(*[F.when(F.col("_k").isNotNull(), ts_literal(run_ts)).otherwise(F.col(c)).alias(c)
                       if c == updated_col else F.col(c) for c in current.columns])
 
 
