@@ -55,14 +55,17 @@ def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeba
 
 def classify_job(extract: DataFrame, classes: BucketedSnapshot, model: classify.Model, run_ts: _dt.datetime,
                  batch_size: int = 10, max_conversations: int | None = None) -> DataFrame:
-    """Batch-classify the extract's conversations and merge the results (null-preserving)."""
+    """Batch-classify the extract's conversations and merge the results (null-preserving).
+    The returned results are checkpointed, so they stay valid after the merge."""
     inputs = extract.select(F.col("id"), F.col("allMessages"))
     if max_conversations:
         inputs = inputs.orderBy("id").limit(max_conversations)
     cases = classify.case_batches(inputs, "id", "allMessages", batch_size, mode="hash")
     replies = classify.classify(classify.prompt_batches(cases), model)
+    # Materialise the results before the merge replaces the snapshot buckets
+    # the inputs may have been read from.
     res = classify.align_replies(cases, replies, "id").withColumnRenamed("id", "conversation_id") \
-        .withColumn("arrival", F.lit(1))
+        .withColumn("arrival", F.lit(1)).checkpoint(eager=True)
     cols = ["category", "sub_category", "reasoning", "resolution"]
     classes.merge(res, lambda cur, r: merge.upsert_coalesce(cur, r, "conversation_id", cols, "arrival", run_ts))
     return res

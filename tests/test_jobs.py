@@ -44,3 +44,48 @@ def test_tag_dry_run_sends_nothing(spark):
     statuses = {r.status for r in plan.collect()}
     assert statuses <= {"skipped", "would_add"} and not calls
     assert plan.where(F.col("status") == "would_add").count() > 0
+
+
+def _fixture_snapshot(spark, t):
+    from casebook import schemas
+    from casebook.streaming.snapshot import BucketedSnapshot
+
+    snap = BucketedSnapshot(scratch_path(spark, f"classes-{uuid.uuid4().hex}"), "conversation_id",
+                            schemas.CLASSIFICATION, buckets=4)
+    snap.write_all(fx.classifications(t.orders))
+    return snap
+
+
+def test_write_back_job_marks_successes(spark):
+    import datetime as dt
+
+    from casebook.operators import writeback
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    snap = _fixture_snapshot(spark, t)
+    run = dt.datetime(2030, 1, 1)
+    out = jobs.write_back_job(snap, fx.clusters(t.orders), writeback.KeyModuloFailures(17), FX, run, limit=None)
+    ok = {r.id for r in out.where("ok").collect()}
+    marked = {r.conversation_id for r in snap.read(spark).where(F.col("updated_time") == F.lit(run)).collect()}
+    assert ok and ok == marked
+
+
+def test_classify_migrate_backfill_jobs_run(spark):
+    import datetime as dt
+
+    from casebook.operators import classify, threads, writeback
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    snap = _fixture_snapshot(spark, t)
+    docs = fx.ticket_documents(t.orders, t.customer, FX)
+    ex = threads.ticket_extract(docs, fx.message_documents(t.conversations, FX), snap.read(spark), FX)
+    n = ex.count()  # the job replaces snapshot buckets this extract reads
+    res = jobs.classify_job(ex, snap, classify.KeywordModel(FX.chat_host), dt.datetime(2030, 1, 1), batch_size=5)
+    assert res.count() == n
+    stats = jobs.migrate_fields(docs, FX, writeback.KeyModuloFailures(17)).where("batch IS NULL").first()
+    assert stats.processed == docs.count() and stats.failed > 0
+    assert jobs.migrate_fields(docs, FX, writeback.KeyModuloFailures(17), dry_run=True).count() == 5
+    funnel = jobs.backfill_categories(fx.migration_log(t.orders, t.customer, FX), fx.staging(t.orders), docs,
+                                      fx.thread_documents(t.conversations, FX), classify.KeywordModel(FX.chat_host),
+                                      writeback.KeyModuloFailures(17), FX).first()
+    assert funnel.total_conversations > 0
