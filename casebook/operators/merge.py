@@ -25,9 +25,13 @@ def ts_literal(ts: _dt.datetime) -> Column:
 def latest_per_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """One row per key: the row with the greatest ``order`` (ties: greatest row)."""
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.max_by(F.struct(*rest), F.struct(F.col(order), F.struct(*rest)))
-    return df.groupBy(*keys).agg(packed.alias("_r")).select(*keys, "_r.*")
+    rest = [c for c in df.columns if c not in keys and c != order]
+    # One struct led by the order column: its max is the newest row (ties go to
+    # the greatest remaining values), and the row travels once per partial.
+    packed = F.max(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in rest]))
+    out = df.groupBy(*keys).agg(packed.alias("_r"))
+    return out.select(*keys, *[F.col("_r._o").alias(order) if c == order else F.col(f"_r.{c}")
+                               for c in df.columns if c not in keys])
 
 
 def upsert_latest(current: DataFrame, updates: DataFrame, key: str | list[str], order: str) -> DataFrame:
