@@ -60,6 +60,9 @@ def classify_job(extract: DataFrame, classes: BucketedSnapshot, model: classify.
     inputs = extract.select(F.col("id"), F.col("allMessages"))
     if max_conversations:
         inputs = inputs.orderBy("id").limit(max_conversations)
+    # Persist the two-column input once: hash batching counts it and then reads
+    # it again, and the extract behind it is the expensive part.
+    inputs = inputs.checkpoint(eager=True)
     cases = classify.case_batches(inputs, "id", "allMessages", batch_size, mode="hash")
     replies = classify.classify(classify.prompt_batches(cases), model)
     # Materialise the results before the merge replaces the snapshot buckets
