@@ -51,10 +51,15 @@ def fold_updates(updates: DataFrame, key: str, cols: list[str], order: str) -> D
 
 def upsert_coalesce(current: DataFrame, updates: DataFrame, key: str, cols: list[str], order: str,
                     run_ts: _dt.datetime, created_col: str = "created_at",
-                    updated_col: str = "updated_time") -> DataFrame:
+                    updated_col: str = "updated_time", requeue_on_change: bool = False) -> DataFrame:
     """Null-preserving upsert: a non-NULL new value overwrites, NULL keeps the
     old one; ``created_col``/``updated_col`` keep their old values on
-    conflict. New keys are inserted with ``created_col = run_ts``."""
+    conflict. New keys are inserted with ``created_col = run_ts``.
+
+    With ``requeue_on_change`` a row whose merged values differ from the old
+    ones gets ``updated_col`` reset to NULL, so it is written back again (by
+    default, as in the original, a re-classified row keeps its old mark and is
+    never re-sent)."""
     new = fold_updates(updates, key, cols, order).alias("n")
     old = current.alias("o")
     j = old.join(new, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
@@ -62,7 +67,14 @@ def upsert_coalesce(current: DataFrame, updates: DataFrame, key: str, cols: list
     out += [F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) for c in cols]
     is_new = F.col(f"o.{key}").isNull()
     out.append(F.when(is_new, ts_literal(run_ts)).otherwise(F.col(f"o.{created_col}")).alias(created_col))
-    out.append(F.when(is_new, F.lit(None)).otherwise(F.col(f"o.{updated_col}")).alias(updated_col))
+    kept = F.col(f"o.{updated_col}")
+    if requeue_on_change:
+        changed = None
+        for c in cols:
+            diff = ~F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).eqNullSafe(F.col(f"o.{c}"))
+            changed = diff if changed is None else changed | diff
+        kept = F.when(changed, F.lit(None)).otherwise(kept)
+    out.append(F.when(is_new, F.lit(None)).otherwise(kept).alias(updated_col))
     return j.select(*out)
 
 

@@ -18,18 +18,24 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from casebook.config import ERROR_LABEL
+
 Send = Callable[[str, str], None]  # raises on failure
 
 
 def pending_updates(classes: DataFrame, clusters: DataFrame, limit: int | None = 100, include_stale: bool = False,
-                    dedup: bool = False) -> DataFrame:
+                    dedup: bool = False, exclude_errors: bool = False) -> DataFrame:
     """Classifications ready to write back, newest first, with their cluster.
 
     Pending = category and resolution set and never written (``updated_time``
     NULL); ``include_stale`` also re-queues rows written before they were
     created. The cluster lookup is not unique per ticket, so a ticket can
-    appear once per cluster row unless ``dedup``."""
+    appear once per cluster row unless ``dedup``. Failed classifications are
+    stored with the label 'Error' and are pending like any other row (as in
+    the original) unless ``exclude_errors``."""
     c = classes.where(F.col("category").isNotNull() & F.col("resolution").isNotNull())
+    if exclude_errors:
+        c = c.where((F.col("category") != ERROR_LABEL) & (F.col("resolution") != ERROR_LABEL))
     never = F.col("updated_time").isNull()
     c = c.where(never | (F.col("updated_time") < F.col("created_at"))) if include_stale else c.where(never)
     cl = clusters.select(F.col("ticket_id"), F.col("cluster_name").alias("cluster"))

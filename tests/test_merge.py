@@ -49,3 +49,19 @@ def test_evolve_adds_typed_null_column(spark):
     assert out.columns[:7] == [f.name for f in schemas.CLASSIFICATION.fields]
     assert dict(out.dtypes)["updated_time"] == "timestamp"
     assert out.select(F.col("updated_time").isNull()).first()[0]
+
+
+def test_requeue_on_change_resets_mark(spark):
+    done = dt.datetime(2024, 6, 1)
+    cur = spark.createDataFrame([("1", "A", "a", "r", "res", RUN, done), ("2", "B", "b", "r", "res", RUN, done)],
+                                schemas.CLASSIFICATION)
+    upd = spark.createDataFrame([("1", "A2", None, None, None, 1), ("2", "B", None, None, None, 1)],
+                                "conversation_id string, category string, sub_category string, reasoning string, "
+                                "resolution string, arrival int")
+    cols = ["category", "sub_category", "reasoning", "resolution"]
+    keep = {r.conversation_id: r.updated_time for r in
+            merge.upsert_coalesce(cur, upd, "conversation_id", cols, "arrival", RUN).collect()}
+    assert keep == {"1": done, "2": done}
+    req = {r.conversation_id: r.updated_time for r in
+           merge.upsert_coalesce(cur, upd, "conversation_id", cols, "arrival", RUN, requeue_on_change=True).collect()}
+    assert req == {"1": None, "2": done}

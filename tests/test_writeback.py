@@ -46,3 +46,8 @@ def test_write_back_outcomes(spark):
     assert out == {"17": (False, "API update failed"), "18": (True, None), "19": (False, "empty payload")}
     stats = writeback.outcome_stats(writeback.write_back(df, writeback.KeyModuloFailures(17))).first()
     assert (stats.processed, stats.successful, stats.failed) == (3, 1, 2)
+
+
+def test_exclude_errors_option(spark):
+    p = writeback.pending_updates(_classes(spark), _clusters(spark), limit=None, dedup=True, exclude_errors=True)
+    assert [r.conversation_id for r in p.collect()] == ["1"]
