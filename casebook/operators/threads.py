@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.config import Settings
-from casebook.functions import columns as C
 from casebook.operators.silver import messages_silver, tickets_silver
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casebook.config import EMBEDDED_THREAD_SEPARATOR, SQL_THREAD_SEPARATOR
-from casebook.functions import columns as C
 from casebook.operators import backfill, classify, merge, silver, threads, writeback
 from casebook.plans.catalog_merge import RUN_TS, _dated
 from casebook.plans.common import CFG, Fixture

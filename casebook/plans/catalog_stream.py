@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from casebook import schemas
 from casebook.operators import writeback
-from casebook.plans import catalog_classify, catalog_fields, catalog_merge
+# The batch twins register the oracles reused below.
+from casebook.plans import catalog_classify, catalog_fields, catalog_merge  # noqa: F401
 from casebook.plans.catalog_merge import RUN_TS, _dated
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import with_
@@ -87,5 +88,3 @@ def q_stream_work_queue(spark, sf_dir):
         .awaitTermination()
     return _dated(snap.read(spark))
 
-
-_ = (catalog_classify, catalog_fields)
