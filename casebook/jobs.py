@@ -38,6 +38,20 @@ def ingest(spark: SparkSession, entity: str, fetcher: str, table_path: str, modi
                                                           "id", "updatedAt"))
 
 
+ENTITIES = ("users", "customers", "conversations", "messages")
+
+
+def ingest_all(spark: SparkSession, fetcher: str, root: str, modified_after: str | None = None,
+               modified_before: str | None = None, num_partitions: int = 8) -> None:
+    """The ``all`` command: every entity, customers included, each into ``root/<entity>``.
+    Date bounds apply to the time-filtered entities only (conversations, messages)."""
+    for entity in ENTITIES:
+        timed = entity in ("conversations", "messages")
+        ingest(spark, entity, fetcher, f"{root.rstrip('/')}/{entity}",
+               modified_after if timed else None, modified_before if timed else None,
+               num_partitions=num_partitions)
+
+
 def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeback.Send, cfg: Settings,
                    run_ts: _dt.datetime, limit: int | None = 100, include_stale: bool = False,
                    partitions: int | None = None) -> DataFrame:
@@ -114,5 +128,5 @@ def tag_open_tickets(tickets_raw: DataFrame, reactions: DataFrame, send: writeba
     return tagging.reaction_plan(flags, send)
 
 
-__all__ = ["ingest", "write_back_job", "classify_job", "migrate_fields", "backfill_categories", "tag_open_tickets",
+__all__ = ["ingest", "ingest_all", "write_back_job", "classify_job", "migrate_fields", "backfill_categories", "tag_open_tickets",
            "schemas"]

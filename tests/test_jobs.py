@@ -89,3 +89,11 @@ def test_classify_migrate_backfill_jobs_run(spark):
                                       fx.thread_documents(t.conversations, FX), classify.KeywordModel(FX.chat_host),
                                       writeback.KeyModuloFailures(17), FX).first()
     assert funnel.total_conversations > 0
+
+
+def test_ingest_all_entities(spark):
+    spark.sparkContext.addPyFile(os.path.join(HERE, "fake_feed.py"))
+    root = scratch_path(spark, f"all-{uuid.uuid4().hex}")
+    jobs.ingest_all(spark, "fake_feed:fetch", root, num_partitions=2)
+    for entity in jobs.ENTITIES:
+        assert spark.read.parquet(f"{root}/{entity}").count() == 57
