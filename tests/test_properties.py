@@ -79,3 +79,48 @@ def test_fold_keeps_newest_non_null(spark, ups):
         if v is not None:
             exp[k] = v
     assert got == exp
+
+
+def py_align(n_cases, reply):
+    """Python model of within-batch alignment: one (failed, category) per position."""
+    import json as _j
+
+    try:
+        parsed = _j.loads(reply)
+    except ValueError:
+        return [(True, "Error")] * n_cases
+    if isinstance(parsed, dict):
+        items = [parsed]
+    elif isinstance(parsed, list):
+        items = parsed
+    else:
+        return [(True, "Error")] * n_cases
+    out = []
+    for i in range(n_cases):
+        it = items[i] if i < len(items) else None
+        if not isinstance(it, dict) or "error" in it:
+            out.append((True, "Error"))
+        else:
+            out.append((False, it.get("category")))
+    return out
+
+
+item = st.one_of(st.builds(lambda c: {"category": c}, st.sampled_from(["A", "B"])),
+                 st.just({"error": "boom"}), st.just("text"), st.just(3))
+reply = st.one_of(st.lists(item, max_size=4).map(lambda x: __import__("json").dumps(x)),
+                  st.builds(lambda c: __import__("json").dumps({"category": c}), st.sampled_from(["A", "B"])),
+                  st.just("not json"))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 3), reply), min_size=1, max_size=12))
+def test_align_matches_python_model(spark, batches):
+    from casebook.operators import classify
+
+    cases = [(b, p, f"{b}-{p}") for b, (n, _) in enumerate(batches) for p in range(1, n + 1)]
+    cdf = spark.createDataFrame(cases, "batch_id long, pos int, id string")
+    rdf = spark.createDataFrame([(b, r, None) for b, (_, r) in enumerate(batches)], classify.REPLY)
+    got = {r.id: (r.failed, r.category) for r in classify.align_replies(cdf, rdf, "id").collect()}
+    for b, (n, r) in enumerate(batches):
+        for p, exp in enumerate(py_align(n, r), start=1):
+            assert got[f"{b}-{p}"] == exp, (r, p)
