@@ -54,8 +54,14 @@ def ingest_all(spark: SparkSession, fetcher: str, root: str, modified_after: str
 
 def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeback.Send, cfg: Settings,
                    run_ts: _dt.datetime, limit: int | None = 100, include_stale: bool = False,
-                   partitions: int | None = None) -> DataFrame:
-    """Pending classifications -> wrapped payload -> writer -> mark processed. Returns the outcomes."""
+                   partitions: int | None = None, outcome_log: str | None = None,
+                   run_id: str | None = None) -> DataFrame:
+    """Pending classifications -> wrapped payload -> writer -> mark processed. Returns the outcomes.
+
+    Delivery to the remote API is at-least-once (a retried task may send a
+    row again; the payload is idempotent). ``outcome_log`` appends every
+    outcome as ``(run_id, id, ok, error, run_ts)`` to a parquet log
+    partitioned by ``run_id``, the audit trail of what each run sent."""
     spark = clusters.sparkSession
     pend = writeback.pending_updates(classes.read(spark), clusters, limit=limit, include_stale=include_stale)
     body = fields.payload(fields.field_map(cfg, {"category": F.col("category"), "resolution": F.col("resolution"),
@@ -64,6 +70,10 @@ def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeba
     outcomes = writeback.write_back(pend.withColumn("payload", body), send, key="conversation_id",
                                     partitions=partitions).checkpoint(eager=True)
     classes.merge(outcomes, lambda cur, o: merge.mark_updated(cur, o, "conversation_id", run_ts), batch_key="id")
+    if outcome_log:
+        rid = run_id or run_ts.strftime("%Y%m%dT%H%M%S")
+        (outcomes.withColumn("run_id", F.lit(rid)).withColumn("run_ts", merge.ts_literal(run_ts))
+         .write.mode("append").partitionBy("run_id").parquet(outcome_log))
     return outcomes
 
 

@@ -64,10 +64,14 @@ def test_write_back_job_marks_successes(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     snap = _fixture_snapshot(spark, t)
     run = dt.datetime(2030, 1, 1)
-    out = jobs.write_back_job(snap, fx.clusters(t.orders), writeback.KeyModuloFailures(17), FX, run, limit=None)
+    log = scratch_path(spark, f"outcomes-{uuid.uuid4().hex}")
+    out = jobs.write_back_job(snap, fx.clusters(t.orders), writeback.KeyModuloFailures(17), FX, run, limit=None,
+                              outcome_log=log, run_id="r1")
     ok = {r.id for r in out.where("ok").collect()}
     marked = {r.conversation_id for r in snap.read(spark).where(F.col("updated_time") == F.lit(run)).collect()}
     assert ok and ok == marked
+    logged = spark.read.parquet(log)
+    assert logged.where("run_id = 'r1'").count() == out.count()
 
 
 def test_classify_migrate_backfill_jobs_run(spark):
