@@ -141,7 +141,9 @@ def align_replies(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     A case is an error row (category/sub-category/resolution 'Error' and the
     failure as reasoning) when the call raised, the reply was not JSON, no
     item answers its position, the item is not an object, or the item carries
-    an ``error`` key. Extra items are dropped."""
+    an ``error`` key. The reasoning is the failure record as Python prints it
+    (``{'error': 'msg'}``); other error objects keep their JSON text. Extra
+    items are dropped."""
     items = reply_items(replies.where(F.col("reply").isNotNull()))
     parsed = items.withColumn("obj", F.from_json("item", schemas.REPLY_ITEM)) \
         .withColumn("is_obj", F.json_object_keys("item").isNotNull())
@@ -153,6 +155,8 @@ def align_replies(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
               .when(F.col("junk"), _error_text(F.lit("Failed to parse response")))
               .when(F.col("item").isNull(), _error_text(F.lit("No result for case")))
               .when(~F.coalesce(F.col("is_obj"), F.lit(False)), F.col("item"))
+              .when(F.col("obj.error").isNotNull() & (F.size(F.json_object_keys("item")) == 1)
+                    & ~F.col("obj.error").contains("'"), _error_text(F.col("obj.error")))
               .when(F.col("obj.error").isNotNull(), F.col("item")))
     failed = reason.isNotNull()
     err = F.lit(ERROR_LABEL)

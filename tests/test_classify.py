@@ -21,7 +21,7 @@ def test_align_replies(spark):
     assert out["1-1"].failed and out["1-2"].reasoning == "{'error': 'Failed to parse response'}"
     assert not out["2-1"].failed and out["2-2"].failed
     assert not out["3-1"].failed and out["3-2"].failed
-    assert out["4-1"].failed and out["4-1"].category == "Error" and "boom" in out["4-1"].reasoning
+    assert out["4-1"].failed and out["4-1"].category == "Error" and out["4-1"].reasoning == "{'error': 'boom'}"
     assert out["4-2"].failed and out["4-2"].reasoning == "text"
 
 
