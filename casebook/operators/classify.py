@@ -124,14 +124,21 @@ def _error_text(msg: Column) -> Column:
     return F.concat(F.lit("{'error': '"), msg, F.lit("'}"))
 
 
+def _items(reply: str) -> Column:
+    """Items of a reply: the elements of a JSON array; a lone JSON object or
+    scalar counts as one item (the answer to position 1); NULL when the reply
+    is not JSON at all."""
+    arr = F.from_json(reply, ArrayType(StringType()))
+    obj = F.when(F.json_object_keys(reply).isNotNull(), F.array(F.col(reply)))
+    scalar = F.from_json(F.concat(F.lit("["), F.col(reply), F.lit("]")), ArrayType(StringType()))
+    return F.coalesce(arr, obj, F.when(F.size(scalar) == 1, scalar))
+
+
 def reply_items(replies: DataFrame) -> DataFrame:
-    """``(batch_id, pos, item)`` for every element of a JSON-array reply; a lone
-    JSON object counts as the answer to position 1. Unparsable replies give no
-    items (their cases become error rows in ``align_replies``)."""
-    arr = F.from_json("reply", ArrayType(StringType()))
-    obj = F.when(F.json_object_keys("reply").isNotNull(), F.array(F.col("reply")))
-    items = F.coalesce(arr, obj)
-    return replies.select("batch_id", F.posexplode(items).alias("p", "item")) \
+    """``(batch_id, pos, item)`` for every item of a reply (see ``_items``).
+    Unparsable replies give no items (their cases become error rows in
+    ``align_replies``)."""
+    return replies.select("batch_id", F.posexplode(_items("reply")).alias("p", "item")) \
         .select("batch_id", (F.col("p") + 1).alias("pos"), "item")
 
 
@@ -148,8 +155,7 @@ def align_replies(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     parsed = items.withColumn("obj", F.from_json("item", schemas.REPLY_ITEM)) \
         .withColumn("is_obj", F.json_object_keys("item").isNotNull())
     r = replies.select("batch_id", "call_error",
-                       F.when(F.col("reply").isNotNull() & F.from_json("reply", ArrayType(StringType())).isNull()
-                              & F.json_object_keys("reply").isNull(), F.lit(True)).alias("junk"))
+                       F.when(F.col("reply").isNotNull() & _items("reply").isNull(), F.lit(True)).alias("junk"))
     j = cases.join(r, "batch_id", "left").join(parsed, ["batch_id", "pos"], "left")
     reason = (F.when(F.col("call_error").isNotNull(), _error_text(F.col("call_error")))
               .when(F.col("junk"), _error_text(F.lit("Failed to parse response")))

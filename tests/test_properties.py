@@ -89,12 +89,7 @@ def py_align(n_cases, reply):
         parsed = _j.loads(reply)
     except ValueError:
         return [(True, "Error")] * n_cases
-    if isinstance(parsed, dict):
-        items = [parsed]
-    elif isinstance(parsed, list):
-        items = parsed
-    else:
-        return [(True, "Error")] * n_cases
+    items = parsed if isinstance(parsed, list) else [parsed]
     out = []
     for i in range(n_cases):
         it = items[i] if i < len(items) else None
@@ -109,7 +104,7 @@ item = st.one_of(st.builds(lambda c: {"category": c}, st.sampled_from(["A", "B"]
                  st.just({"error": "boom"}), st.just("text"), st.just(3))
 reply = st.one_of(st.lists(item, max_size=4).map(lambda x: __import__("json").dumps(x)),
                   st.builds(lambda c: __import__("json").dumps({"category": c}), st.sampled_from(["A", "B"])),
-                  st.just("not json"))
+                  st.sampled_from(["not json", "42", '"text"', "[1, 2"]))
 
 
 @SETTINGS
