@@ -1,11 +1,13 @@
 """Every catalogue query against its DuckDB oracle on the smallest tables."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as E
 from tools.check_oracles import canon, duck
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("CASEBOOK_TEST_SF", "/root/testdata/sf0.001")
 NAMES = sorted(E.queries())
 
 
