@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,17 +49,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system path and is used as is.
-    Only when it is unset (local runs, tests) a fresh scratch folder is created.
+    On a cluster the setting must name a shared file system path. Only a local master, whose
+    executors are this very process, gets a scratch folder where it is unset.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_casebook_checkpoint_dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="casebook-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = spark._casebook_checkpoint_dir = tempfile.mkdtemp(prefix="casebook-ckpt-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"

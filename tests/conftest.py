@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,7 +13,5 @@ def spark():
     from casebook.session import local_session
 
     s = local_session(4, shuffle_partitions=8, app="casebook-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="casebook-test-ckpt-"))
     yield s
     s.stop()
