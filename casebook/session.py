@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +65,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session's cluster, once per application.
+
+    Tasks that run Python import it; on a cluster it need not be installed on the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_casebook_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="casebook-ship-")) / "casebook.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._casebook_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written intermediate tables."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
