@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import exact_dedup, language_id, line_dedup, packing, pseudonyms, quality, secret_scan
+from casebook.llm import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, packing, pseudonyms, quality, secret_scan, suffix_dedup
 from casebook.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,12 +36,22 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.learn(docs))
 
 
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -63,6 +73,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 ORACLES["op1_line_dedup"] = """
 WITH l AS (
   SELECT doc_id, unnest(range(len(x))) AS pos, unnest(x) AS line
