@@ -94,9 +94,9 @@ def nonblank_text(text) -> Column:
 
 
 def nonempty_text(text) -> Column:
-    """Text that is not NULL and not the two-quote literal (the raw-message filter)."""
+    """Text that is neither NULL nor empty (the raw-message filter)."""
     t = _c(text)
-    return t.isNotNull() & (t != '""')
+    return t.isNotNull() & (t != "")
 
 
 def label_a(category, sub) -> Column:

@@ -15,32 +15,76 @@ from pyspark.sql import functions as F
 from casebook import schemas
 from casebook.config import Settings
 from casebook.operators import backfill, classify, fields, merge, silver, tagging, writeback
+from casebook.session import checkpoint_dir
 from casebook.sources import paged
 from casebook.streaming.snapshot import BucketedSnapshot
 
 
 def ingest(spark: SparkSession, entity: str, fetcher: str, table_path: str, modified_after: str | None = None,
            modified_before: str | None = None, conversation_id: str | None = None, num_partitions: int = 8,
-           buckets: int = 256) -> None:
-    """Download one entity from the paged feed and upsert it (latest ``updatedAt`` wins)."""
+           buckets: int = 256, **options: str) -> None:
+    """Download one entity from the paged feed and upsert it: the later run wins, within a run the
+    latest ``updatedAt``. The feed is read once (the merge checkpoints it)."""
     paged.register(spark)
     r = spark.read.format("paged_feed").option("entity", entity).option("fetcher", fetcher) \
-        .option("numPartitions", str(num_partitions))
+        .option("numPartitions", str(num_partitions)).options(**options)
     if modified_after:
         r = r.option("modifiedAfter", modified_after)
     if modified_before:
         r = r.option("modifiedBefore", modified_before)
-    feed = r.load()
+    feed = r.load().where("id IS NOT NULL")
     if conversation_id:
         feed = feed.where(F.col("id") == conversation_id)
     snap = BucketedSnapshot(table_path, "id", feed.schema, buckets)
-    snap.merge(feed, lambda cur, new: merge.upsert_latest(cur, merge.latest_per_key(new, "id", "updatedAt"),
-                                                          "id", "updatedAt"))
+    snap.merge(feed, lambda cur, new: merge.replace_rows(cur, merge.latest_by_arrival(new, "id", ["updatedAt"]), "id"))
+
+
+def _sent(outcomes: DataFrame) -> DataFrame:
+    """Run the writer now, once, and keep its outcomes: reading them later sends nothing again."""
+    checkpoint_dir(outcomes.sparkSession)
+    return outcomes.checkpoint(eager=True)
 
 
 ENTITIES = ("users", "customers", "conversations", "messages")
 
 
+def ingest_conversations(spark: SparkSession, fetcher: str, root: str, modified_after: str | None = None,
+                         modified_before: str | None = None, conversation_id: str | None = None,
+                         num_partitions: int = 8, fetch_partitions: int | None = None, buckets: int = 256,
+                         **options: str) -> DataFrame:
+    """Conversations with their details and messages: list the ids, fetch each one's detail and its message chain.
+
+    Stores ``root/conversations`` and ``root/messages`` (last write wins) and appends to ``root/dead_letters`` what
+    could not be fetched: ``(kind, id, error)``. Each id is fetched once. Returns the counts per kind."""
+    paged.register(spark)
+    checkpoint_dir(spark)
+    root = root.rstrip("/")
+    r = spark.read.format("paged_feed").options(entity="conversations", fetcher=fetcher, numPartitions=str(num_partitions), **options)
+    for name, value in (("modifiedAfter", modified_after), ("modifiedBefore", modified_before), ("id", conversation_id)):
+        r = r.option(name, value) if value else r
+    listed = r.load().checkpoint(eager=True)
+    known = listed.where("id IS NOT NULL")
+    ids = merge.latest_by_arrival(known.select("id", "updatedAt"), "id", ["updatedAt"])
+    details = paged.fetch_details(ids, fetcher, partitions=fetch_partitions).checkpoint(eager=True)
+    found = details.where("error IS NULL").join(ids, "id").select("id", "updatedAt", "data")
+    snap = BucketedSnapshot(f"{root}/conversations", "id", found.schema, buckets)
+    snap.merge(found, lambda cur, new: merge.replace_rows(cur, new, "id"))
+    pages = paged.fetch_pages_per_key(found.select(F.col("id").alias("key")), fetcher, partitions=fetch_partitions) \
+        .checkpoint(eager=True)
+    rows = merge.latest_by_arrival(pages.where("error IS NULL AND id IS NOT NULL").select("id", "updatedAt", "data"), "id", ["updatedAt"])
+    snap = BucketedSnapshot(f"{root}/messages", "id", rows.schema, buckets)
+    snap.merge(rows, lambda cur, new: merge.replace_rows(cur, new, "id"))
+    dead = (listed.where("id IS NULL").select(F.lit("listing").alias("kind"), "id", F.lit("record without id").alias("error"))
+            .unionByName(details.where("error IS NOT NULL").select(F.lit("conversation").alias("kind"), "id", "error"))
+            .unionByName(pages.where("error IS NOT NULL").select(F.lit("messages").alias("kind"), F.col("key").alias("id"), "error"))
+            .unionByName(pages.where("error IS NULL AND id IS NULL").select(F.lit("message").alias("kind"), F.col("key").alias("id"),
+                                                                            F.lit("record without id").alias("error"))))
+    dead.write.mode("append").parquet(f"{root}/dead_letters")
+    counts = found.select(F.lit("conversations").alias("kind")).unionByName(rows.select(F.lit("messages").alias("kind"))) \
+        .unionByName(dead.select(F.lit("dead_letters").alias("kind")))
+    return counts.groupBy("kind").agg(F.count("*").alias("n"))
+
+
 def ingest_all(spark: SparkSession, fetcher: str, root: str, modified_after: str | None = None,
                modified_before: str | None = None, num_partitions: int = 8) -> None:
     """The ``all`` command: every entity, customers included, each into ``root/<entity>``.
@@ -53,7 +97,7 @@ def ingest_all(spark: SparkSession, fetcher: str, root: str, modified_after: str
 
 
 def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeback.Send, cfg: Settings,
-                   run_ts: _dt.datetime, limit: int | None = 100, include_stale: bool = False,
+                   run_ts: _dt.datetime, limit: int | None = None, include_stale: bool = False,
                    partitions: int | None = None, outcome_log: str | None = None,
                    run_id: str | None = None) -> DataFrame:
     """Pending classifications -> wrapped payload -> writer -> mark processed. Returns the outcomes.
@@ -68,7 +112,8 @@ def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeba
                                                  "sub_category": F.col("sub_category"),
                                                  "cluster": F.col("cluster")}), wrap=True)
     outcomes = writeback.write_back(pend.withColumn("payload", body), send, key="conversation_id",
-                                    partitions=partitions).checkpoint(eager=True)
+                                    partitions=partitions)
+    outcomes = _sent(outcomes)
     classes.merge(outcomes, lambda cur, o: merge.mark_updated(cur, o, "conversation_id", run_ts), batch_key="id")
     if outcome_log:
         rid = run_id or run_ts.strftime("%Y%m%dT%H%M%S")
@@ -112,7 +157,7 @@ def migrate_fields(tickets_raw: DataFrame, cfg: Settings, send: writeback.Send,
     if dry_run:
         return t.select("id", "category", "sub_category", "migration_label").orderBy("id").limit(5)
     t = t.withColumn("payload", fields.payload(F.col("new_fields"), wrap=True))
-    out = writeback.write_back(t, send, key="id")
+    out = _sent(writeback.write_back(t, send, key="id"))
     return writeback.outcome_stats(out.withColumn("batch", F.pmod(F.xxhash64("id"), F.lit(max(1, buckets)))), "batch")
 
 
@@ -121,10 +166,10 @@ def backfill_categories(log_lines: DataFrame, staging: DataFrame, live_docs: Dat
                         limit: int | None = None) -> DataFrame:
     """Ids with empty migrations -> first usable tier -> truthy write-back. Returns the funnel."""
     ids = backfill.log_empty_ids(log_lines)
-    if limit:
-        ids = ids.limit(limit)
+    if limit is not None:
+        ids = ids.orderBy("conversation_id").limit(limit)
     resolved = backfill.backfill(ids, staging, live_docs, thread_docs, model, cfg)
-    return backfill.backfill_funnel(backfill.apply_backfill(resolved, send))
+    return backfill.backfill_funnel(_sent(backfill.apply_backfill(resolved, send)))
 
 
 def tag_open_tickets(tickets_raw: DataFrame, reactions: DataFrame, send: writeback.Send, cfg: Settings,
@@ -135,7 +180,7 @@ def tag_open_tickets(tickets_raw: DataFrame, reactions: DataFrame, send: writeba
     if dry_run:
         return flags.select("conversation_id", F.when(F.col("has_emoji"), "skipped").otherwise("would_add")
                             .alias("status"))
-    return tagging.reaction_plan(flags, send)
+    return _sent(tagging.reaction_plan(flags, send))
 
 
 __all__ = ["ingest", "ingest_all", "write_back_job", "classify_job", "migrate_fields", "backfill_categories", "tag_open_tickets",

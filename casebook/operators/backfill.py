@@ -31,12 +31,14 @@ def log_empty_ids(lines: DataFrame) -> DataFrame:
     return hit.select(cid.alias("conversation_id")).where(F.col("conversation_id").isNotNull())
 
 
-def warehouse_lookup(staging: DataFrame, ids: DataFrame, order: str = "version") -> DataFrame:
-    """Latest staging row per requested id (semi join, then one row per id)."""
+def warehouse_lookup(staging: DataFrame, ids: DataFrame, order: str | None = None) -> DataFrame:
+    """One staging row per requested id: the greatest ``order``, or without an order column the greatest row."""
     req = ids.select("conversation_id").distinct()
     hit = staging.join(req, "conversation_id", "left_semi")
-    return merge.latest_per_key(hit, "conversation_id", order).select(
-        "conversation_id", "ticket_category", "ticket_sub_category", "ticket_resolution")
+    cols = ["conversation_id", "ticket_category", "ticket_sub_category", "ticket_resolution"]
+    if order is None:
+        return merge.latest_by_arrival(hit.select(*cols), "conversation_id", [])
+    return merge.latest_per_key(hit, "conversation_id", order).select(*cols)
 
 
 def embedded_thread(docs: DataFrame, sep: str) -> DataFrame:
@@ -48,11 +50,11 @@ def embedded_thread(docs: DataFrame, sep: str) -> DataFrame:
 
 
 def backfill(ids: DataFrame, staging: DataFrame, live_docs: DataFrame, thread_docs: DataFrame,
-             model: classify.Model, cfg: Settings) -> DataFrame:
+             model: classify.Model, cfg: Settings, order: str | None = None) -> DataFrame:
     """One row per requested id (duplicates kept) with the winning tier
     (``warehouse`` / ``live`` / ``model`` / ``none``), the values it gives,
     the migration label and the truthy-only payload map."""
-    wh = warehouse_lookup(staging, ids).withColumn("wh_found", F.lit(True))
+    wh = warehouse_lookup(staging, ids, order).withColumn("wh_found", F.lit(True))
     live = fields.with_categories(
         live_docs.select("id", F.from_json("data", schemas.TICKET_DOC).getField("ticketTypeFields").alias("f")),
         cfg, "f").select(F.col("id").alias("conversation_id"), F.col("category").alias("live_cat"),
@@ -66,7 +68,7 @@ def backfill(ids: DataFrame, staging: DataFrame, live_docs: DataFrame, thread_do
     content = embedded_thread(thread_docs, cfg.embedded_separator) \
         .where(F.col("content") != "").withColumnRenamed("id", "conversation_id")
     cases = need_model.join(content, "conversation_id", "inner").select(
-        "conversation_id", F.col("conversation_id").cast("long").alias("batch_id"),
+        "conversation_id", F.col("conversation_id").cast("string").alias("batch_id"),
         classify.single_prompt(F.col("content")).alias("prompt"))
     replies = classify.classify(cases, model)
     ai = classify.single_results(cases.select("conversation_id", "batch_id"), replies, "conversation_id") \

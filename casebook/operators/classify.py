@@ -16,29 +16,27 @@ Shape of the job:
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from casebook import schemas
 from casebook.config import ERROR_LABEL, NONE_TEXT, PROMPT_FOOTER, PROMPT_HEADER, SINGLE_PROMPT
 from casebook.session import checkpoint_dir
 
-Model = Callable[[int, str], str]  # (batch_id, prompt) -> reply text; may raise
+Model = Callable[[str, str], str]  # (batch_id as text, prompt) -> reply text; may raise
 
-REPLY = StructType([StructField("batch_id", LongType()), StructField("reply", StringType()),
+REPLY = StructType([StructField("batch_id", StringType()), StructField("reply", StringType()),
                     StructField("call_error", StringType())])
 
 
 def case_batches(df: DataFrame, key: str, text: str, size: int, mode: str = "range") -> DataFrame:
     """``(key, text, batch_id, pos)``: cases in batches of at most ``size``.
 
-    ``mode="range"`` (integer keys): ``batch_id = key div size`` and 1-based
+    ``mode="range"`` (keys that are integers): ``batch_id = key div size`` and 1-based
     positions by key; the window is partitioned by ``batch_id``, so a window
     group holds at most ``size`` rows.
 
@@ -90,12 +88,12 @@ def call_model(model: Model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
             replies, errors = [], []
             for b, p in zip(pdf["batch_id"], pdf["prompt"]):
                 try:
-                    replies.append(model(int(b), p))
+                    replies.append(model(str(b), p))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001
                     replies.append(None)
                     errors.append(str(e) or type(e).__name__)
-            yield pd.DataFrame({"batch_id": pdf["batch_id"].astype("int64"), "reply": replies,
+            yield pd.DataFrame({"batch_id": pdf["batch_id"].astype(str), "reply": replies,
                                 "call_error": errors})
 
     return run
@@ -109,7 +107,7 @@ def classify(prompts: DataFrame, model: Model, partitions: int | None = None, pe
     the calls: the model runs once per batch, later reads (parsing, error
     detection) see the same replies, and a lost executor does not trigger new
     (possibly different, paid) model calls."""
-    src = prompts.select("batch_id", "prompt")
+    src = prompts.select(F.col("batch_id").cast("string").alias("batch_id"), "prompt")
     if partitions:
         src = src.repartition(partitions, "batch_id")
     out = src.mapInPandas(call_model(model), REPLY)
@@ -127,11 +125,14 @@ def _error_text(msg: Column) -> Column:
 def _items(reply: str) -> Column:
     """Items of a reply: the elements of a JSON array; a lone JSON object or
     scalar counts as one item (the answer to position 1); NULL when the reply
-    is not JSON at all."""
-    arr = F.from_json(reply, ArrayType(StringType()))
-    obj = F.when(F.json_object_keys(reply).isNotNull(), F.array(F.col(reply)))
-    scalar = F.from_json(F.concat(F.lit("["), F.col(reply), F.lit("]")), ArrayType(StringType()))
-    return F.coalesce(arr, obj, F.when(F.size(scalar) == 1, scalar))
+    as a whole is not strict JSON (trailing text, single quotes)."""
+    strict = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_c"}
+    wrapped = F.from_json(F.concat(F.lit('{"v":'), F.col(reply), F.lit("}")), "v string, _c string", strict)
+    valid = F.try_parse_json(F.col(reply)).isNotNull() & wrapped["_c"].isNull()
+    first = F.substring(F.trim(F.regexp_replace(reply, r"^\s+", "")), 1, 1)
+    items = (F.when(first == "[", F.from_json(reply, ArrayType(StringType()), strict))
+             .when(first == "{", F.array(F.col(reply))).otherwise(F.array(wrapped["v"])))
+    return F.when(valid, items)
 
 
 def reply_items(replies: DataFrame) -> DataFrame:
@@ -146,24 +147,27 @@ def align_replies(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     """One result per case: ``(key, category, sub_category, reasoning, resolution, failed)``.
 
     A case is an error row (category/sub-category/resolution 'Error' and the
-    failure as reasoning) when the call raised, the reply was not JSON, no
+    failure as reasoning) when the call raised, the reply was not strict JSON, no
     item answers its position, the item is not an object, or the item carries
-    an ``error`` key. The reasoning is the failure record as Python prints it
+    an ``error`` key, whatever its value. The reasoning is the failure record as Python prints it
     (``{'error': 'msg'}``); other error objects keep their JSON text. Extra
-    items are dropped."""
+    items are dropped; ``surplus_items`` counts them."""
     items = reply_items(replies.where(F.col("reply").isNotNull()))
     parsed = items.withColumn("obj", F.from_json("item", schemas.REPLY_ITEM)) \
-        .withColumn("is_obj", F.json_object_keys("item").isNotNull())
+        .withColumn("keys", F.json_object_keys("item"))
     r = replies.select("batch_id", "call_error",
                        F.when(F.col("reply").isNotNull() & _items("reply").isNull(), F.lit(True)).alias("junk"))
+    cases = cases.withColumn("batch_id", F.col("batch_id").cast("string"))
     j = cases.join(r, "batch_id", "left").join(parsed, ["batch_id", "pos"], "left")
+    has_error = F.array_contains("keys", "error")
+    alone = F.size("keys") == 1
     reason = (F.when(F.col("call_error").isNotNull(), _error_text(F.col("call_error")))
               .when(F.col("junk"), _error_text(F.lit("Failed to parse response")))
               .when(F.col("item").isNull(), _error_text(F.lit("No result for case")))
-              .when(~F.coalesce(F.col("is_obj"), F.lit(False)), F.col("item"))
-              .when(F.col("obj.error").isNotNull() & (F.size(F.json_object_keys("item")) == 1)
-                    & ~F.col("obj.error").contains("'"), _error_text(F.col("obj.error")))
-              .when(F.col("obj.error").isNotNull(), F.col("item")))
+              .when(F.col("keys").isNull(), F.col("item"))
+              .when(has_error & alone & F.col("obj.error").isNull(), F.lit("{'error': None}"))
+              .when(has_error & alone & ~F.col("obj.error").contains("'"), _error_text(F.col("obj.error")))
+              .when(has_error, F.col("item")))
     failed = reason.isNotNull()
     err = F.lit(ERROR_LABEL)
     return j.select(
@@ -176,12 +180,20 @@ def align_replies(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     )
 
 
+def surplus_items(cases: DataFrame, replies: DataFrame) -> DataFrame:
+    """``(batch_id, surplus)`` of the batches whose reply has more items than cases."""
+    n = cases.groupBy(F.col("batch_id").cast("string").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
+    got = replies.where(F.col("reply").isNotNull()).select("batch_id", F.size(_items("reply")).alias("got"))
+    return got.join(n, "batch_id").where("got > n").select("batch_id", (F.col("got") - F.col("n")).alias("surplus"))
+
+
 def single_results(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     """Batch-size-1 variant: the parsed object, or nothing when the call
     failed or the reply is not a JSON object (the case stays unclassified)."""
     obj = F.from_json("reply", schemas.REPLY_ITEM)
-    ok = replies.where(F.json_object_keys("reply").isNotNull()) \
+    ok = replies.where(_items("reply").isNotNull() & F.json_object_keys("reply").isNotNull()) \
         .select("batch_id", obj.alias("obj"))
+    cases = cases.withColumn("batch_id", F.col("batch_id").cast("string"))
     return cases.join(ok, "batch_id", "inner").select(F.col(key), "obj.category", "obj.sub_category",
                                                       "obj.reasoning", "obj.resolution")
 
@@ -191,44 +203,12 @@ def taxonomy_table(spark, taxonomy: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(rows, "category string, sub_category string")
 
 
+def resolution_violations(classes: DataFrame, tags: list[str] | tuple[str, ...]) -> DataFrame:
+    """Classifications whose resolution is set and not one of the allowed tags."""
+    return classes.where(F.col("resolution").isNotNull() & ~F.col("resolution").isin(list(tags)))
+
+
 def taxonomy_violations(classes: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Classifications whose (category, sub-category) pair is not allowed.
     The taxonomy is a fixed configuration list, so broadcasting it is bounded."""
     return classes.join(F.broadcast(taxonomy), ["category", "sub_category"], "left_anti")
-
-
-# --- deterministic stand-in model --------------------------------------------------
-_CASE = re.compile(r"Case (\d+):\n<Conversation>(.*?)</Conversation>\n\n", re.S)
-
-
-def keyword_result(text: str, chat_host: str) -> dict:
-    """Keyword rule used by the stand-in model (and by its SQL oracle)."""
-    return {
-        "category": "Escalation" if chat_host in text else ("General" if "the" in text else "Other"),
-        "sub_category": "Data" if "data" in text else "Other",
-        "reasoning": "keyword",
-        "resolution": "Customer Education" if "?" in text else "No Action",
-    }
-
-
-class KeywordModel:
-    """Answers every case of a prompt with ``keyword_result``. Faults by batch
-    id: ``b % 7 == 0`` junk text, else ``b % 11 == 0`` one lone object, else
-    ``b % 5 == 0`` one item short."""
-
-    def __init__(self, chat_host: str, faults: bool = True):
-        self.chat_host, self.faults = chat_host, faults
-
-    def __call__(self, b: int, prompt: str) -> str:
-        if self.faults and b % 7 == 0:
-            return "Sorry, I cannot classify these."
-        found = _CASE.findall(prompt)
-        if not found:  # single-case prompt: answer with one object
-            pre, post = SINGLE_PROMPT.split("{text}")
-            return json.dumps(keyword_result(prompt[len(pre):len(prompt) - len(post)], self.chat_host))
-        res = [keyword_result(t, self.chat_host) for _, t in found]
-        if self.faults and b % 11 == 0:
-            return json.dumps(res[0])
-        if self.faults and b % 5 == 0:
-            res = res[:-1]
-        return json.dumps(res)

@@ -2,9 +2,10 @@
 (K2/W3), marking processed rows (K3) and additive schema evolution (K4).
 
 All merges are one aggregation keyed by the primary key. ``max_by`` and
-``max`` are declarative aggregates, so Spark combines them map-side before the
-shuffle: a key that holds a third of all updates costs one partial row per map
-task, not a third of the data in one reducer. No window over the key is used.
+``max`` are combined map-side before the shuffle: a key that holds a third of
+all updates costs one partial row per map task. A struct maximum runs as a
+sort-based aggregate, so each map task sorts its rows by key (and spills if
+it must); that is its price. No window over the key is used.
 """
 
 from __future__ import annotations
@@ -42,6 +43,20 @@ def upsert_latest(current: DataFrame, updates: DataFrame, key: str | list[str],
     return latest_per_key(both, key, order)
 
 
+def latest_by_arrival(updates: DataFrame, key: str, arrival: list[str]) -> DataFrame:
+    """One row per key: the row that arrived last. ``arrival`` columns decide in order (say, run number,
+    then the record's own time); NULL comes before every value, and the greatest row breaks ties."""
+    rest = [c for c in updates.columns if c != key and c not in arrival]
+    newest = updates.groupBy(key).agg(F.max(F.struct(*arrival, *rest)).alias("_r"))
+    return newest.select(*[F.col(key) if c == key else F.col(f"_r.{c}") for c in updates.columns])
+
+
+def replace_rows(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """Last write wins: a key in ``updates`` (one row per key) replaces its old row, whatever the old row holds."""
+    return current.join(updates.select(key), key, "left_anti").select(*current.columns) \
+        .unionByName(updates, allowMissingColumns=True)
+
+
 def fold_updates(updates: DataFrame, key: str, cols: list[str], order: str) -> DataFrame:
     """Several partial updates of one key -> one row: per column, the newest
     non-NULL value (NULL when every update left the column NULL)."""

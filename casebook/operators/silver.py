@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casebook import schemas
 from casebook.config import Settings
@@ -64,8 +65,8 @@ def tickets_silver(raw: DataFrame, cfg: Settings) -> DataFrame:
 def messages_silver(raw: DataFrame, cfg: Settings, drop_empty: bool = True) -> DataFrame:
     """Normalised message view with sender and three-valued escalation flag.
 
-    ``drop_empty`` keeps only messages whose text is present and not the
-    two-quote literal (the raw-message listing)."""
+    ``drop_empty`` keeps only messages whose text is present and not empty
+    (the raw-message listing)."""
     m = parse_fields(raw, schemas.MESSAGE_DOC)
     snd = C.sender(F.col("user.email"), F.col("sentByUser.email"))
     out = m.select(
@@ -77,6 +78,13 @@ def messages_silver(raw: DataFrame, cfg: Settings, drop_empty: bool = True) -> D
     return out.where(C.nonempty_text("text")) if drop_empty else out
 
 
+def message_senders(raw: DataFrame) -> DataFrame:
+    """``(id, conversationId, sender)``: only the fields these need are parsed."""
+    names = ("conversationId", "user", "sentByUser")
+    m = parse_fields(raw, StructType([f for f in schemas.MESSAGE_DOC.fields if f.name in names]))
+    return m.select("id", "conversationId", C.sender(F.col("user.email"), F.col("sentByUser.email")).alias("sender"))
+
+
 def customers_silver(raw: DataFrame) -> DataFrame:
     d = parse_documents(raw, schemas.CUSTOMER_DOC)
     return d.select(

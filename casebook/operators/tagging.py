@@ -40,6 +40,9 @@ def newest_first(tickets: DataFrame, page_no: int = 0, page_size: int = 50) -> D
         .offset(page_no * page_size).limit(page_size)
 
 
+ALREADY_REACTED = "already_reacted"  # the writer's error when somebody else was faster: nothing to do
+
+
 def with_links(tickets: DataFrame, cfg: Settings) -> DataFrame:
     return tickets.withColumn("link", C.deep_link("chat_channel_id", "chat_timestamp", cfg.link_base))
 
@@ -62,7 +65,8 @@ def reaction_plan(flags: DataFrame, send: writeback.Send) -> DataFrame:
         "payload", F.to_json(F.struct(F.col("chat_channel_id").alias("channel"),
                                       F.col("chat_timestamp").alias("timestamp"))))
     out = writeback.write_back(todo, send, key="conversation_id", skip="has_emoji", keep=True)
-    status = (F.when(F.col("has_emoji"), F.lit("skipped")).when(F.col("ok"), F.lit("added"))
+    there = ~F.col("ok") & F.coalesce(F.lower("error").contains(ALREADY_REACTED), F.lit(False))
+    status = (F.when(F.col("has_emoji") | there, F.lit("skipped")).when(F.col("ok"), F.lit("added"))
               .otherwise(F.lit("failed")))
     return out.withColumn("status", status).drop("payload", "ok", "error")
 
@@ -84,8 +88,8 @@ def tag_summary(records: DataFrame) -> DataFrame:
     return s.withColumn("success_rate", rate)
 
 
-def simulated_bucket(tickets: DataFrame, modulus: int = 10) -> DataFrame:
-    """Stable bucket of (channel, ts), as used to pre-mark a share of messages in dry runs."""
+def message_bucket(tickets: DataFrame, modulus: int = 10) -> DataFrame:
+    """Stable bucket of every message's (channel, ts)."""
     return tickets.withColumn("bucket", C.hash_bucket(F.concat(F.coalesce("chat_channel_id", F.lit("None")),
                                                                F.coalesce("chat_timestamp", F.lit("None"))),
                                                       modulus))

@@ -23,7 +23,7 @@ from casebook.config import ERROR_LABEL
 Send = Callable[[str, str], None]  # raises on failure
 
 
-def pending_updates(classes: DataFrame, clusters: DataFrame, limit: int | None = 100, include_stale: bool = False,
+def pending_updates(classes: DataFrame, clusters: DataFrame, limit: int | None = None, include_stale: bool = False,
                     dedup: bool = False, exclude_errors: bool = False) -> DataFrame:
     """Classifications ready to write back, newest first, with their cluster.
 
@@ -108,18 +108,6 @@ def write_back(df: DataFrame, send: Send, key: str = "id", body: str = "payload"
     return out if keep else out.select(F.col(key).cast("string").alias("id"), "ok", "error")
 
 
-class KeyModuloFailures:
-    """Deterministic stand-in for a remote API: rejects ids whose integer value
-    is a multiple of ``modulus``. Used by tests and the catalogue."""
-
-    def __init__(self, modulus: int = 17, message: str = "API update failed"):
-        self.modulus, self.message = modulus, message
-
-    def __call__(self, key: str, body: str) -> None:
-        if int(key) % self.modulus == 0:
-            raise RuntimeError(self.message)
-
-
 def outcome_stats(outcomes: DataFrame, batch_col: str | None = None) -> DataFrame:
     """processed / successful / failed per batch plus a total row (batch NULL)
     and the number of batches."""
@@ -127,8 +115,10 @@ def outcome_stats(outcomes: DataFrame, batch_col: str | None = None) -> DataFram
             F.count_if(~F.col("ok")).alias("failed")]
     if batch_col is None:
         return outcomes.agg(*aggs)
-    per = outcomes.rollup(batch_col).agg(*aggs, F.count_distinct(batch_col).alias("batches"))
-    return per
+    # One row per batch first; the rollup then expands only those.
+    per = outcomes.groupBy(batch_col).agg(*aggs)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("processed", "successful", "failed")]
+    return per.rollup(batch_col).agg(*sums, F.count(batch_col).alias("batches"))
 
 
 def success_rate(outcomes: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from casebook.config import EMBEDDED_THREAD_SEPARATOR, SQL_THREAD_SEPARATOR
 from casebook.operators import backfill, classify, merge, silver, threads, writeback
+from casebook.plans import doubles
 from casebook.plans.catalog_merge import RUN_TS, _dated
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import LABEL_A, with_
@@ -53,7 +54,7 @@ def _cases(spark, sf_dir):
 
 def _aligned(spark, sf_dir):
     cases = _cases(spark, sf_dir)
-    replies = classify.classify(classify.prompt_batches(cases), classify.KeywordModel(CFG.chat_host))
+    replies = classify.classify(classify.prompt_batches(cases), doubles.KeywordModel(CFG.chat_host))
     return classify.align_replies(cases, replies, "id").withColumnRenamed("id", "conversation_id")
 
 
@@ -65,7 +66,7 @@ SELECT batch_id, COUNT(*) AS n_cases,
   || 'Please respond with a JSON array containing the classification for each case in order.' AS prompt
 FROM cases GROUP BY batch_id""")
 def q_prompt_batches(spark, sf_dir):
-    return classify.prompt_batches(_cases(spark, sf_dir))
+    return classify.prompt_batches(_cases(spark, sf_dir)).withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
 @query("reply_align", with_("ts", "ms", "c", extra=_CLS_CTES) + _ALIGNED)
@@ -88,6 +89,30 @@ def q_classify_end_to_end(spark, sf_dir):
     return _dated(out)
 
 
+@query("prompt_batches_hash", with_("ts", "ms", "c", extra=_CLS_CTES) + """
+SELECT substr(md5(id), 1, 8) || '-' || substr(md5(id), 9, 4) AS id, 1 AS in_batches, FALSE AS oversized,
+  TRUE AS well_placed FROM cases""")
+def q_prompt_batches_hash(spark, sf_dir):
+    """Hash-mode batches over hex ids with hyphens: every case in one batch of at most ``BATCH``, at its own position."""
+    f = Fixture(spark, sf_dir)
+    ex = threads.ticket_extract(f.tickets_raw(), f.messages_raw(), f.classes(), CFG)
+    h = F.md5("id")
+    ex = ex.select(F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4)).alias("id"), "allMessages").checkpoint()
+    cases = classify.case_batches(ex, "id", "allMessages", BATCH, mode="hash")
+    n = classify.prompt_batches(cases).select("batch_id", "n_cases")
+    each = cases.join(n, "batch_id").groupBy("id").agg(
+        F.count_distinct("batch_id").cast("int").alias("in_batches"), (F.max("n_cases") > BATCH).alias("oversized"),
+        (F.max(F.col("pos") - F.col("n_cases")) <= 0).alias("well_placed"))
+    return each
+
+
+@query("resolution_violations", with_("c") + """
+SELECT conversation_id, resolution FROM c WHERE resolution IS NOT NULL AND resolution NOT IN ('res0', 'res1', 'res2', 'Error')""")
+def q_resolution_violations(spark, sf_dir):
+    c = Fixture(spark, sf_dir).classes().select("conversation_id", "resolution")
+    return classify.resolution_violations(c, ("res0", "res1", "res2", "Error"))
+
+
 @query("classify_single", with_("ms", extra=[("e", _E)]) + f"""
 SELECT conversationId AS conversation_id, {KW_CAT} AS category, {KW_SUB} AS sub_category,
   'keyword' AS reasoning, {KW_RES} AS resolution
@@ -97,9 +122,9 @@ def q_classify_single(spark, sf_dir):
     m = silver.messages_silver(Fixture(spark, sf_dir).messages_raw(), CFG, drop_empty=False)
     th = threads.thread_summary(m, CFG.thread_separator, with_flag=False).where(F.col("allMessages").isNotNull())
     cases = th.select(F.col("conversationId").alias("conversation_id"),
-                      F.col("conversationId").cast("long").alias("batch_id"),
+                      F.col("conversationId").alias("batch_id"),
                       classify.single_prompt(F.col("allMessages")).alias("prompt"))
-    replies = classify.classify(cases, classify.KeywordModel(CFG.chat_host))
+    replies = classify.classify(cases, doubles.KeywordModel(CFG.chat_host))
     return classify.single_results(cases.select("conversation_id", "batch_id"), replies, "conversation_id")
 
 
@@ -176,7 +201,7 @@ def q_log_empty_ids(spark, sf_dir):
 SELECT conversation_id, cat AS ticket_category, sub AS ticket_sub_category, res AS ticket_resolution FROM wh""")
 def q_warehouse_lookup(spark, sf_dir):
     f = Fixture(spark, sf_dir)
-    return backfill.warehouse_lookup(f.staging(), _ticket_ids(_log_ids(spark, sf_dir)))
+    return backfill.warehouse_lookup(f.staging(), _ticket_ids(_log_ids(spark, sf_dir)), "version")
 
 
 @query("embedded_thread", with_("m", extra=[("emb", _EMB)]) + "SELECT id, content FROM emb")
@@ -188,8 +213,8 @@ def q_embedded_thread(spark, sf_dir):
 def _applied(spark, sf_dir):
     f = Fixture(spark, sf_dir)
     resolved = backfill.backfill(_ticket_ids(_log_ids(spark, sf_dir)), f.staging(), f.tickets_raw(),
-                                 fx.thread_documents(f.t.conversations, CFG), classify.KeywordModel(CFG.chat_host), CFG)
-    return backfill.apply_backfill(resolved, writeback.KeyModuloFailures(17))
+                                 fx.thread_documents(f.t.conversations, CFG), doubles.KeywordModel(CFG.chat_host), CFG, "version")
+    return backfill.apply_backfill(resolved, doubles.KeyModuloFailures(17))
 
 
 @query("backfill_resolve", with_("t", "stg", "m", extra=_BACKFILL_CTES) + """

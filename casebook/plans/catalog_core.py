@@ -55,7 +55,7 @@ def q_tickets_silver(spark, sf_dir):
 @query("messages_silver", with_("ms") + """
 SELECT id, conversationId, ts AS timestamp, updatedAt, isPrivateNote, botName, sender, text,
   flag AS internalEscalation
-FROM ms WHERE text IS NOT NULL AND text <> '""'""")
+FROM ms WHERE text IS NOT NULL AND text <> ''""")
 def q_messages_silver(spark, sf_dir):
     return silver.messages_silver(Fixture(spark, sf_dir).messages_raw(), CFG)
 

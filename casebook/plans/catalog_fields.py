@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions import columns as C
 from casebook.operators import fields, silver, writeback
+from casebook.plans import doubles
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import LABEL_A, LABEL_B, with_
 from casebook.plans.registry import query
@@ -108,11 +109,11 @@ def q_missing_ids(spark, sf_dir):
 @query("modified_range", with_("t") + """
 SELECT id, strftime(upd, '%Y-%m-%d') || 'T12:00:00.000Z' AS updatedAt FROM t
 WHERE upd BETWEEN DATE '1996-01-01' AND DATE '1996-03-31'
-ORDER BY updatedAt DESC, id DESC LIMIT 50""")
+ORDER BY updatedAt DESC, id DESC""")
 def q_modified_range(spark, sf_dir):
     t = _tickets(spark, sf_dir)
     return fields.modified_between(t, "1996-1-1", "1996-3-31").select("id", "updatedAt") \
-        .orderBy(F.col("updatedAt").desc(), F.col("id").desc()).limit(50)
+        .orderBy(F.col("updatedAt").desc(), F.col("id").desc())
 
 
 @query("append_pages", with_("t") + "SELECT id, sourceType, raw_status AS status FROM t")
@@ -133,7 +134,7 @@ def q_migration_dry_run(spark, sf_dir):
 def _migration_outcomes(spark, sf_dir):
     t = fields.migrated_fields(_tickets(spark, sf_dir), CFG, "a")
     t = t.withColumn("payload", fields.payload(F.col("new_fields"), wrap=True))
-    return writeback.write_back(t, writeback.KeyModuloFailures(17), key="id")
+    return writeback.write_back(t, doubles.KeyModuloFailures(17), key="id")
 
 
 @query("migration_outcomes", with_("t") + """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from casebook import schemas
 from casebook.operators import merge, reports, silver, writeback
+from casebook.plans import doubles
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import with_
 from casebook.plans.registry import query
@@ -31,6 +32,26 @@ def q_upsert_latest(spark, sf_dir):
     return merge.upsert_latest(snapshot, ev.where(F.col("event_id") % 3 != 0), "user_id", "event_id")
 
 
+@query("upsert_arrival", """
+SELECT user_id, run, updated, event_id, value FROM (
+  SELECT user_id, event_id % 3 AS run, event_id, value,
+    CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 4 < 3 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE ts END AS updated
+  FROM events)
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY run DESC, updated DESC NULLS LAST, event_id DESC) = 1""")
+def q_upsert_arrival(spark, sf_dir):
+    """Three runs, each replacing what the ones before stored, though many rows have a NULL or equal time."""
+    n = F.col("event_id")
+    ev = Fixture(spark, sf_dir).t.events.select(
+        "user_id", (n % 3).alias("run"),
+        F.when(n % 4 == 0, None).when(n % 4 < 3, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        .otherwise(F.col("ts").cast("timestamp_ntz")).alias("updated"), "event_id", "value")
+    stored = ev.where("false")
+    for run in range(3):
+        stored = merge.replace_rows(stored, merge.latest_by_arrival(ev.where(F.col("run") == run), "user_id", ["updated"]),
+                                    "user_id")
+    return stored
+
+
 @query("upsert_coalesce", with_("c", "upd", extra=[("f", """
 SELECT conversation_id,
   arg_max(category, arrival) FILTER (WHERE category IS NOT NULL) AS category,
@@ -62,7 +83,7 @@ def q_mark_updated(spark, sf_dir):
     classes = f.classes()
     pend = writeback.pending_updates(classes, f.clusters(), limit=None)
     outcomes = writeback.write_back(pend.withColumn("payload", F.to_json(F.struct("category", "resolution"))),
-                                    writeback.KeyModuloFailures(17), key="conversation_id")
+                                    doubles.KeyModuloFailures(17), key="conversation_id")
     return _dated(merge.mark_updated(classes, outcomes, "conversation_id", RUN_TS))
 
 
@@ -88,7 +109,7 @@ _PEND_ORDER = "ORDER BY created_at DESC NULLS LAST, conversation_id ASC NULLS FI
 
 def _pending(spark, sf_dir, stale):
     f = Fixture(spark, sf_dir)
-    p = writeback.pending_updates(f.classes(), f.clusters(), limit=100, include_stale=stale)
+    p = writeback.pending_updates(f.classes(), f.clusters(), limit=None if stale else 100, include_stale=stale)
     return p.withColumn("created_at", F.col("created_at").cast("date"))
 
 
@@ -101,7 +122,7 @@ def q_pending_updates(spark, sf_dir):
 SELECT c.conversation_id, c.category, c.sub_category, c.resolution, clu.cluster_name AS cluster, c.created_at
 FROM c LEFT JOIN clu ON c.conversation_id = clu.ticket_id
 WHERE c.category IS NOT NULL AND c.resolution IS NOT NULL
-  AND (c.updated_time IS NULL OR c.updated_time < c.created_at)) {_PEND_ORDER}""")
+  AND (c.updated_time IS NULL OR c.updated_time < c.created_at))""")
 def q_pending_updates_documented(spark, sf_dir):
     return _pending(spark, sf_dir, True)
 
@@ -111,8 +132,8 @@ SELECT ms.id, ms.conversationId, ms.sender, dir.user_id, dir.user_name
 FROM ms JOIN dir ON ms.sender = dir.email""")
 def q_messages_with_user(spark, sf_dir):
     f = Fixture(spark, sf_dir)
-    m = silver.messages_silver(f.messages_raw(), CFG, drop_empty=False)
-    d = f.directory()
+    m = silver.message_senders(f.messages_raw()).where(F.col("sender").isNotNull())
+    d = f.directory().where(F.col("email").isNotNull())
     return m.join(d, m.sender == d.email, "inner").select("id", "conversationId", "sender", "user_id", "user_name")
 
 

@@ -12,6 +12,7 @@ from casebook import schemas
 from casebook.operators import writeback
 # The batch twins register the oracles reused below.
 from casebook.plans import catalog_classify, catalog_fields, catalog_merge  # noqa: F401
+from casebook.plans import doubles
 from casebook.plans.catalog_merge import RUN_TS, _dated
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import with_
@@ -84,7 +85,7 @@ def q_stream_work_queue(spark, sf_dir):
     _stage(pend.withColumn("_s", F.col("conversation_id").cast("long")), f"{run}/in", 2, "_s")
     src = spark.readStream.schema("conversation_id string, payload string").option("maxFilesPerTrigger", 8) \
         .parquet(f"{run}/in")
-    jobs.start_work_queue(src, snap, writeback.KeyModuloFailures(17), RUN_TS, f"{run}/checkpoint") \
+    jobs.start_work_queue(src, snap, doubles.KeyModuloFailures(17), RUN_TS, f"{run}/checkpoint") \
         .awaitTermination()
     return _dated(snap.read(spark))
 

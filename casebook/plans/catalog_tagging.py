@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casebook.operators import tagging, writeback
+from casebook.operators import tagging
+from casebook.plans import doubles
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import with_
 from casebook.plans.registry import query
@@ -70,7 +71,7 @@ def q_reaction_exists(spark, sf_dir):
 SELECT conversation_id, CASE WHEN has_emoji THEN 'skipped' WHEN k % 19 = 0 THEN 'failed' ELSE 'added' END AS status
 FROM ({_FLAGS}) q""")
 def q_reaction_plan(spark, sf_dir):
-    return tagging.reaction_plan(_flags(spark, sf_dir), writeback.KeyModuloFailures(19)) \
+    return tagging.reaction_plan(_flags(spark, sf_dir), doubles.KeyModuloFailures(19)) \
         .select("conversation_id", "status")
 
 
@@ -83,7 +84,7 @@ FROM ({_FLAGS}) q"""
 
 
 def _records(spark, sf_dir):
-    plan = tagging.reaction_plan(_flags(spark, sf_dir), writeback.KeyModuloFailures(19))
+    plan = tagging.reaction_plan(_flags(spark, sf_dir), doubles.KeyModuloFailures(19))
     return tagging.link_records(plan, CFG)
 
 
@@ -105,13 +106,11 @@ _BUCKET = """((CAST('0x' || substr(h, 1, 8) AS BIGINT) * 6) % 10 + (CAST('0x' ||
   + (CAST('0x' || substr(h, 17, 8) AS BIGINT) * 6) % 10 + CAST('0x' || substr(h, 25, 8) AS BIGINT) % 10) % 10"""
 
 
-@query("hash_bucket_sample", with_("t", extra=[("open", _OPEN)]) + f"""
-SELECT conversation_id, bucket FROM (
-  SELECT conversation_id, {_BUCKET} AS bucket FROM (SELECT conversation_id, md5(chat_channel_id || chat_timestamp) AS h
-  FROM open) q) b WHERE bucket < 3""")
-def q_hash_bucket_sample(spark, sf_dir):
-    b = tagging.simulated_bucket(_open(spark, sf_dir))
-    return b.where(F.col("bucket") < 3).select("conversation_id", "bucket")
+@query("hash_bucket", with_("t", extra=[("open", _OPEN)]) + f"""
+SELECT conversation_id, {_BUCKET} AS bucket FROM (SELECT conversation_id, md5(chat_channel_id || chat_timestamp) AS h
+  FROM open) q""")
+def q_hash_bucket(spark, sf_dir):
+    return tagging.message_bucket(_open(spark, sf_dir)).select("conversation_id", "bucket")
 
 
 @query("reaction_debug", """

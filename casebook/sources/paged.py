@@ -12,9 +12,9 @@ shard is one input partition that follows its own cursor chain. A page loop
 stops on an empty page, a missing cursor, or ``hasNext = false``. Each request
 is retried in-task up to ``attempts`` times; Spark's task retry sits on top.
 
-Filters: an ``id = ...`` filter becomes a point lookup and ``updatedAt``
-bounds become the request range (with ``spark.sql.python.filterPushdown.enabled``),
-so neither is fetched and filtered afterwards.
+Filters (with ``spark.sql.python.filterPushdown.enabled``): an ``id = ...`` filter
+becomes a point lookup. ``updatedAt`` bounds narrow the request to whole days and
+are applied to the rows again by Spark. A record without an id has a NULL id.
 """
 
 from __future__ import annotations
@@ -50,6 +50,20 @@ def split_range(lo: str, hi: str, n: int) -> list[dict]:
     return out
 
 
+def split_hours(lo: str, hi: str, n: int) -> list[dict]:
+    """``n`` contiguous, inclusive time ranges of whole hours covering the days ``[lo, hi]``."""
+    start, hours = _dt.datetime.combine(_day(lo), _dt.time()), ((_day(hi) - _day(lo)).days + 1) * 24
+    n = max(1, min(n, hours))
+    edges = [start + _dt.timedelta(hours=hours * i // n) for i in range(n + 1)]
+    return [{"modifiedAfter": a.isoformat(timespec="milliseconds") + "Z",
+             "modifiedBefore": (b - _dt.timedelta(milliseconds=1)).isoformat(timespec="milliseconds") + "Z"}
+            for a, b in zip(edges, edges[1:])]
+
+
+def _day(text: str) -> _dt.date:
+    return _dt.date.fromisoformat(text[:10])
+
+
 class Shard(InputPartition):
     def __init__(self, filters: dict):
         super().__init__(json.dumps(filters, sort_keys=True))
@@ -68,29 +82,53 @@ class PagedReader(DataSourceReader):
         self.point: str | None = options.get("id")
 
     def pushFilters(self, filters):
+        """Narrow the request; only an exact id lookup is taken off Spark's hands.
+
+        Request ranges are whole days, so a pushed time bound still has to be applied to the rows, and it never
+        widens a range that an option or another filter has set."""
         for f in filters:
             col = f.attribute[0] if getattr(f, "attribute", None) else None
-            if isinstance(f, EqualTo) and col == "id":
+            if isinstance(f, EqualTo) and col == "id" and self.point in (None, str(f.value)):
                 self.point = str(f.value)
-            elif isinstance(f, GreaterThanOrEqual) and col == "updatedAt":
-                self.lo = str(f.value)[:10]
+                continue
+            if isinstance(f, GreaterThanOrEqual) and col == "updatedAt":
+                self.lo = max(filter(None, (self.lo, str(f.value)[:10])))
             elif isinstance(f, LessThanOrEqual) and col == "updatedAt":
-                self.hi = str(f.value)[:10]
-            else:
-                yield f
+                self.hi = min(filter(None, (self.hi, str(f.value)[:10])))
+            yield f
 
     def partitions(self):
         if self.point is not None:
             return [Shard({"id": self.point})]
+        return [Shard(s) for s in self.shards(self.lo, self.hi)]
+
+    def shards(self, lo: str | None, hi: str | None) -> list[dict]:
+        """Independent filters that together cover the range, each once.
+
+        A ``sharder`` option (``module:function``) is asked first; it gets (entity, filters, n). Else a range of days
+        is split by day, or by hour where the feed takes times (``hours`` option) and days are too few. Open ends are
+        split only for entities whose records all carry ``updatedAt`` (``timed`` option): the days since ``earliest`` in
+        ranges, and all before and after by one shard each. Anything else is one cursor chain."""
         n = int(self.options.get("numpartitions", "1"))
-        if self.lo and self.hi and n > 1:
-            return [Shard(s) for s in split_range(self.lo, self.hi, n)]
-        base = {}
-        if self.lo:
-            base["modifiedAfter"] = self.lo
-        if self.hi:
-            base["modifiedBefore"] = self.hi
-        return [Shard(base)]
+        base = {k: v for k, v in (("modifiedAfter", lo), ("modifiedBefore", hi)) if v}
+        if n <= 1 or (lo and hi and lo[:10] > hi[:10]):
+            return [base]
+        if self.options.get("sharder"):
+            return load_fetcher(self.options["sharder"])(self.entity, base, n)
+        if lo and hi:
+            by_hour = self.options.get("hours") == "true"
+            return split_hours(lo, hi, n) if by_hour and (_day(hi) - _day(lo)).days + 1 < n else split_range(lo, hi, n)
+        if self.options.get("timed") != "true":
+            return [base]
+        today = _dt.date.today()
+        first = _day(lo) if lo else min(_dt.date.fromisoformat(self.options.get("earliest", "2015-01-01")), _day(hi) if hi else today)
+        last = _day(hi) if hi else max(today, first)
+        out = split_range(first.isoformat(), last.isoformat(), n)
+        if not lo:
+            out.insert(0, {"modifiedBefore": (first - _dt.timedelta(days=1)).isoformat()})
+        if not hi:
+            out.append({"modifiedAfter": (last + _dt.timedelta(days=1)).isoformat()})
+        return out
 
     def _request(self, fetch, filters, cursor):
         err = None
@@ -108,7 +146,8 @@ class PagedReader(DataSourceReader):
             page = self._request(fetch, partition.filters, cursor) or {}
             data = page.get("data") or []
             for rec in data:
-                yield (str(rec.get("id")), rec.get("updatedAt"), json.dumps(rec))
+                key = rec.get("id")
+                yield (None if key is None else str(key), rec.get("updatedAt"), json.dumps(rec))
             cur = page.get("cursors") or {}
             cursor = cur.get("next")
             if not data or not cursor or not cur.get("hasNext", False):
@@ -116,27 +155,24 @@ class PagedReader(DataSourceReader):
 
 
 class PagedStreamReader(DataSourceStreamReader):
-    """Incremental sync (ST1): the offset is the last ``updatedAt`` day read.
+    """Incremental sync (ST1): the offset is the time up to which records were read.
 
-    Each micro-batch covers the days from the previous offset to today, split
-    into ``numPartitions`` day-range shards read in parallel by the executors
-    (not a driver-side simple reader). Day bounds are inclusive, so the
-    boundary day is read again by the next batch; the downstream latest-wins
-    upsert makes that repeat harmless."""
+    Each micro-batch covers the days from the previous offset's to the current one, split into shards that the
+    executors read in parallel (not a driver-side simple reader). The boundary day is read again by the next batch, so
+    a record that arrives later on the same day is found; the downstream upsert makes the repeat harmless."""
 
     def __init__(self, options: dict):
         self.batch = PagedReader(options)
         self.start = self.batch.options.get("startingafter", "1970-01-01")
-        self.n = int(self.batch.options.get("numpartitions", "1"))
 
     def initialOffset(self) -> dict:
-        return {"day": self.start}
+        return {"time": self.start}
 
     def latestOffset(self) -> dict:
-        return {"day": _dt.date.today().isoformat()}
+        return {"time": _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")}
 
     def partitions(self, start: dict, end: dict):
-        return [Shard(s) for s in split_range(start["day"], end["day"], self.n)]
+        return [Shard(s) for s in self.batch.shards(start["time"][:10], end["time"][:10])]
 
     def read(self, partition: Shard) -> Iterator[tuple]:
         return self.batch.read(partition)
@@ -188,8 +224,8 @@ def fetch_details(ids, fetcher: str, attempts: int = 3, partitions: int | None =
                 err, body = None, None
                 for _ in range(attempts):
                     try:
-                        body = json.dumps(fetch("conversation", {"id": k}, None, 1))
-                        err = None
+                        got = fetch("conversation", {"id": k}, None, 1)
+                        body, err = (json.dumps(got), None) if got else (None, "empty detail")
                         break
                     except Exception as e:  # noqa: BLE001
                         err = str(e) or type(e).__name__
@@ -204,14 +240,16 @@ PAGES_SCHEMA = "key string, id string, updatedAt string, data string, error stri
 
 
 def fetch_pages_per_key(keys, fetcher: str, entity: str = "messages", key_filter: str = "conversationId",
-                        page_size: int = 200, attempts: int = 3, partitions: int | None = None):
+                        page_size: int = 200, attempts: int = 3, partitions: int | None = None,
+                        flush_rows: int = 2000):
     """Follow one cursor chain per key (S5: the messages of each conversation).
 
     ``keys`` has a ``key`` column; every key becomes the filter
     ``{key_filter: key}`` and its pages are read inside an executor task
     (``mapInPandas``), so millions of conversations spread over the cluster.
-    A key whose chain fails after ``attempts`` tries yields one row with its
-    error and no record (dead letter) instead of failing the job."""
+    Rows leave the task every ``flush_rows``, however long a chain is. A key whose
+    chain fails after ``attempts`` tries keeps the records of the pages read and
+    yields one more row with its error (dead letter) instead of failing the job."""
     src = keys.select(keys["key"].cast("string").alias("key"))
     if partitions:
         src = src.repartition(partitions, "key")
@@ -220,15 +258,21 @@ def fetch_pages_per_key(keys, fetcher: str, entity: str = "messages", key_filter
     def run(batches):
         import pandas as pd
 
+        def frame(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=["key", "id", "updatedAt", "data", "error"])
+
         reader = PagedReader(opts)
         for pdf in batches:
-            out = []
+            out: list[tuple] = []
             for k in pdf["key"]:
                 try:
-                    rows = list(reader.read(Shard({key_filter: k})))
-                    out += [(k, i, u, d, None) for i, u, d in rows]
+                    for i, u, d in reader.read(Shard({key_filter: k})):
+                        out.append((k, i, u, d, None))
+                        if len(out) >= flush_rows:
+                            yield frame(out)
+                            out = []
                 except Exception as e:  # noqa: BLE001
                     out.append((k, None, None, None, str(e) or type(e).__name__))
-            yield pd.DataFrame(out, columns=["key", "id", "updatedAt", "data", "error"])
+            yield frame(out)
 
     return src.mapInPandas(run, PAGES_SCHEMA)

@@ -23,7 +23,7 @@ def start_upsert_stream(stream: DataFrame, table: BucketedSnapshot, order: str,
     key = table.key
 
     def upsert(current: DataFrame, batch: DataFrame) -> DataFrame:
-        return merge.upsert_latest(current, merge.latest_per_key(batch, key, order), key, order)
+        return merge.upsert_latest(current, batch, key, order)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         table.merge(batch.select(*[f.name for f in table.schema.fields]), upsert)

@@ -1,36 +1,40 @@
-"""A keyed snapshot table on plain parquet, merged one micro-batch at a time.
-
-Rows are spread over ``buckets`` hash buckets (``pmod(xxhash64(key), n)``),
-stored as parquet partitions. A merge reads only the buckets the batch
-touches (a semi join on the bucket column, which dynamic partition pruning
-turns into a partition filter - no driver-side list), merges them with the
-batch, and replaces exactly those buckets with a dynamic partition
-overwrite. Untouched buckets are never rewritten, so the cost of a
-micro-batch follows its size, not the table's.
-
-The merged rows are checkpointed (to the shared ``spark.checkpoint.dir``)
-before the buckets they were read from are replaced. Replaying a micro-batch
-(Spark re-runs ``foreachBatch`` with the same id after a failure) is
-harmless: the merges used here are idempotent.
+"""A keyed snapshot table on plain parquet, merged one batch at a time.
+
+Rows are spread over ``buckets`` hash buckets (``pmod(xxhash64(key), n)``). Each
+merge writes the buckets that its batch touches as a new version folder
+(``data/version=<v>/bucket=<b>``) and then one manifest file that names, for
+every bucket, the version that holds it. Readers follow the newest manifest
+file; a data file that may be read is never replaced. A crash before the manifest is
+written leaves the table as it was, and its half-written version unused.
+
+A merge reads only the touched buckets: their numbers (at most ``buckets``
+integers) become a filter on the partition column. The batch is checkpointed
+first, so a source that answers differently on each read is read once.
+A bucket is written by up to ``files_per_bucket`` tasks, each with its share of the keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from casebook.session import checkpoint_dir
 
 MergeFn = Callable[[DataFrame, DataFrame], DataFrame]  # (current rows of touched buckets, batch) -> new rows
 
+MANIFEST = "seq long, buckets int, bucket int, version long"
+
 
 class BucketedSnapshot:
-    def __init__(self, path: str, key: str, schema: StructType, buckets: int = 64):
-        self.path, self.key, self.schema, self.buckets = path, key, schema, buckets
-        self.stored = StructType(list(schema.fields) + [StructField("bucket", IntegerType())])
+    def __init__(self, path: str, key: str, schema: StructType, buckets: int = 64, files_per_bucket: int = 4):
+        self.path, self.key, self.schema, self.buckets = path.rstrip("/"), key, schema, buckets
+        self.files_per_bucket = files_per_bucket
+        self.stored = StructType(list(schema.fields) + [StructField("version", LongType()),
+                                                        StructField("bucket", IntegerType())])
 
     def bucket_of(self, col: str | None = None):
         return F.pmod(F.xxhash64(F.col(col or self.key)), F.lit(self.buckets)).cast("int")
@@ -38,26 +42,76 @@ class BucketedSnapshot:
     def _columns(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
+    def _manifest(self, spark: SparkSession) -> tuple[int, dict[int, int]]:
+        """(sequence number, version of each bucket); (0, {}) before the first write.
+
+        Only a missing path counts as 'not written yet'; any other error is raised. The bucket
+        count stored with the table wins over the one asked for."""
+        try:
+            m = spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, {}
+        last = m.agg(F.max("seq")).first()[0]
+        if last is None:
+            return 0, {}
+        rows = m.where(F.col("seq") == last).collect()  # one row per bucket
+        self.buckets = rows[0]["buckets"]
+        return last, {r["bucket"]: r["version"] for r in rows if r["bucket"] is not None}
+
+    def _rows(self, spark: SparkSession, versions: dict[int, int]) -> DataFrame:
+        if not versions:
+            return spark.createDataFrame([], self.stored)
+        folders = sorted({f"{self.path}/data/version={v}" for v in versions.values()})
+        df = spark.read.schema(self.stored).option("basePath", f"{self.path}/data").parquet(*folders)
+        by_version: dict[int, list[int]] = {}
+        for b, v in versions.items():
+            by_version.setdefault(v, []).append(b)
+        live = F.lit(False)
+        for v, bs in sorted(by_version.items()):
+            live = live | ((F.col("version") == v) & F.col("bucket").isin(bs))
+        return df.where(F.col("bucket").isin(list(versions)) & live)
+
     def read(self, spark: SparkSession, with_bucket: bool = False) -> DataFrame:
         """Current rows (an empty frame before the first write)."""
-        try:
-            df = spark.read.schema(self.stored).parquet(self.path)
-            df.limit(0).collect()
-        except Exception:  # noqa: BLE001 - the table does not exist yet
-            df = spark.createDataFrame([], self.stored)
+        df = self._rows(spark, self._manifest(spark)[1]).drop("version")
         return df if with_bucket else df.drop("bucket")
 
+    def _commit(self, df: DataFrame, seq: int, versions: dict[int, int], touched: list[int]) -> None:
+        spark, version = df.sparkSession, seq + 1
+        part = F.pmod(F.xxhash64(F.col(self.key), F.lit(1)), F.lit(self.files_per_bucket))
+        (df.select(*self._columns()).withColumn("bucket", self.bucket_of())
+         .repartition(F.col("bucket"), part)
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}"))
+        versions = {**versions, **dict.fromkeys(touched, version)}
+        rows = [(version, self.buckets, b, v) for b, v in sorted(versions.items())] or [(version, self.buckets, None, None)]
+        spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+
     def write_all(self, df: DataFrame) -> None:
-        """Initial load: every bucket written once."""
-        out = df.select(*self._columns()).withColumn("bucket", self.bucket_of())
-        out.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(self.path)
+        """Initial load: every bucket written once, as one new version."""
+        seq, _ = self._manifest(df.sparkSession)
+        self._commit(df, seq, {}, list(range(self.buckets)))
 
     def merge(self, batch: DataFrame, merge_fn: MergeFn, batch_key: str | None = None) -> None:
         spark = batch.sparkSession
         checkpoint_dir(spark)
-        touched = batch.select(self.bucket_of(batch_key).alias("bucket")).distinct()
-        current = self.read(spark, with_bucket=True).join(touched, "bucket", "left_semi").drop("bucket")
-        merged = merge_fn(current, batch).select(*self._columns()).withColumn("bucket", self.bucket_of())
-        merged = merged.checkpoint(eager=True)
-        (merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket").parquet(self.path))
+        batch = batch.checkpoint(eager=True)
+        seq, versions = self._manifest(spark)
+        touched = sorted(r[0] for r in batch.select(self.bucket_of(batch_key)).distinct().collect())  # at most `buckets`
+        if not touched:
+            return
+        current = self._rows(spark, {b: versions[b] for b in touched if b in versions}).drop("version", "bucket")
+        self._commit(merge_fn(current, batch), seq, versions, touched)
+
+    def vacuum(self, spark: SparkSession) -> int:
+        """Delete version folders that the newest manifest no longer names; returns their number.
+        Run it when no reader holds an older state."""
+        seq, versions = self._manifest(spark)
+        used = set(versions.values())
+        fs_path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        gone = [v for v in range(1, seq + 1) if v not in used and fs.exists(fs_path(f"{self.path}/data/version={v}"))]
+        for v in gone:
+            fs.delete(fs_path(f"{self.path}/data/version={v}"), True)
+        return len(gone)

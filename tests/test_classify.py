@@ -2,6 +2,7 @@
 
 import json
 
+from casebook.plans import doubles
 from casebook.operators import classify
 
 
@@ -26,7 +27,7 @@ def test_align_replies(spark):
 
 
 def test_keyword_model_faults():
-    m = classify.KeywordModel("chat.example")
+    m = doubles.KeywordModel("chat.example")
     p = "Case 1:\n<Conversation>the data?</Conversation>\n\nCase 2:\n<Conversation>x</Conversation>\n\n"
     assert m(7, p).startswith("Sorry")
     assert isinstance(json.loads(m(11, p)), dict)
@@ -59,3 +60,20 @@ def test_hash_batches_for_string_keys(spark):
     sizes = cases.groupBy("batch_id").agg(F.count("*").alias("n"), F.max("pos").alias("m"),
                                           F.countDistinct("pos").alias("d")).collect()
     assert all(r.n <= 5 and r.m == r.n == r.d for r in sizes)
+
+
+def test_strict_replies_and_hex_ids(spark):
+    from pyspark.sql import functions as F
+
+    replies = [("b-0a", '[{"category": "A"}, {"category": "B"}]', 2), ("b-0b", '[{"category": "A"}] thanks', 1),
+               ("b-0c", "{'category': 'A'}", 1), ("b-0d", '{"category": "A"} trailing', 1), ("b-0e", '{"error": null}', 1),
+               ("b-0f", '[{"category": "A"}, {"category": "B"}, 7]', 2), ("b-10", '{"error": "x", "category": "A"}', 1)]
+    cases = spark.createDataFrame([(f"{b}-{p}", b, p) for b, _, n in replies for p in range(1, n + 1)], "id string, batch_id string, pos int")
+    got_replies = spark.createDataFrame([(b, r, None) for b, r, _ in replies], classify.REPLY)
+    got = {r.id: r for r in classify.align_replies(cases, got_replies, "id").collect()}
+    assert {i for i, r in got.items() if not r.failed} == {"b-0a-1", "b-0a-2", "b-0f-1", "b-0f-2"}
+    assert got["b-0e-1"].reasoning == "{'error': None}" and got["b-0b-1"].reasoning == "{'error': 'Failed to parse response'}"
+    assert [(r.batch_id, r.surplus) for r in classify.surplus_items(cases, got_replies).collect()] == [("b-0f", 1)]
+    ids = spark.range(23).select(F.concat(F.substring(F.md5(F.col("id").cast("string")), 1, 8), F.lit("-"), F.col("id")).alias("id"), F.lit("x").alias("text"))
+    batches = classify.case_batches(ids, "id", "text", 4, mode="hash").groupBy("batch_id").count()
+    assert batches.agg(F.sum("count"), F.max("count")).first()[0] == 23 and batches.agg(F.max("count")).first()[0] <= 4

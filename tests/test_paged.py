@@ -70,3 +70,39 @@ def test_pages_per_key_follow_each_chain(spark):
     rows = out.collect()
     assert len(rows) == 2 * 57 and all(r.error is None for r in rows)
     assert {r.key for r in rows} == {"c1", "c2"}
+
+
+def _times(spark, cond, **opts):
+    return _reader(spark, **opts).where(cond).count()
+
+
+def test_time_bounds_are_exact(spark):
+    """Pushed bounds narrow the request to days; Spark still applies them to the rows."""
+    at = "updatedAt"
+    want = sum(1 for i in range(57) if i % 20 >= 18)
+    assert _times(spark, F.col(at) >= "2024-03-19T05:00") == want
+    assert _times(spark, F.col(at) >= "2024-03-19T15:00") == sum(1 for i in range(57) if i % 20 >= 19)
+    assert _times(spark, F.col(at) <= "2024-03-01T02:00") == 0
+    assert _times(spark, (F.col("id") == "t005") & (F.col(at) >= "2024-03-19")) == 0
+    assert _times(spark, F.col(at) >= "2024-01-01", modifiedAfter="2024-03-20") == sum(1 for i in range(57) if i % 20 == 19)
+
+
+def test_shards_of_every_range():
+    from casebook.sources.paged import PagedReader
+
+    def shards(lo, hi, **o):
+        return PagedReader({"fetcher": "x:y", "numPartitions": "4", **o}).shards(lo, hi)
+
+    assert shards(None, None) == [{}] and shards("2024-03-01", None) == [{"modifiedAfter": "2024-03-01"}]
+    day = shards("2024-03-01", "2024-03-01", hours="true")
+    assert len(day) == 4 and day[0]["modifiedAfter"] == "2024-03-01T00:00:00.000Z" and day[-1]["modifiedBefore"] == "2024-03-01T23:59:59.999Z"
+    assert all(a["modifiedBefore"] < b["modifiedAfter"] for a, b in zip(day, day[1:]))
+    for lo, hi in ((None, None), ("2024-03-01", None), (None, "2024-03-09")):
+        s = shards(lo, hi, timed="true")
+        assert len(s) >= 4 and ("modifiedAfter" in s[0]) == bool(lo) and ("modifiedBefore" in s[-1]) == bool(hi)
+        assert all(a["modifiedBefore"] < b["modifiedAfter"] for a, b in zip(s, s[1:]))
+
+
+def test_open_ranges_read_every_record_once(spark):
+    df = _reader(spark, numPartitions="5", timed="true")
+    assert df.rdd.getNumPartitions() >= 5 and df.count() == 57 and df.select("id").distinct().count() == 57

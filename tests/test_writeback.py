@@ -3,6 +3,7 @@
 import datetime as dt
 
 from casebook import schemas
+from casebook.plans import doubles
 from casebook.operators import writeback
 
 D1, D2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
@@ -42,9 +43,9 @@ def test_limit_takes_newest_first(spark):
 
 def test_write_back_outcomes(spark):
     df = spark.createDataFrame([("17", "{}"), ("18", "{}"), ("19", None)], "id string, payload string")
-    out = {r.id: (r.ok, r.error) for r in writeback.write_back(df, writeback.KeyModuloFailures(17)).collect()}
+    out = {r.id: (r.ok, r.error) for r in writeback.write_back(df, doubles.KeyModuloFailures(17)).collect()}
     assert out == {"17": (False, "API update failed"), "18": (True, None), "19": (False, "empty payload")}
-    stats = writeback.outcome_stats(writeback.write_back(df, writeback.KeyModuloFailures(17))).first()
+    stats = writeback.outcome_stats(writeback.write_back(df, doubles.KeyModuloFailures(17))).first()
     assert (stats.processed, stats.successful, stats.failed) == (3, 1, 2)
 
 
