@@ -9,7 +9,7 @@ nearest vote with their cosine, raised to ``sharpness``, as weight; votes are sc
 
 Only ``text`` enters a score. Edge cases: null or empty text has a zero vector and takes the share of label 1
 as its score; repeated rows are scored each by itself; labels of null quality, of held-out rows and of missing
-documents are not learnt; of several labels of a document the smallest counts; without any label every
+documents are not learnt; of several labels of a document the smallest counts, of several texts the first in order; without any label every
 score is 0.5; an empty table gives no rows; other columns are carried along only by ``split``.
 """
 
@@ -138,13 +138,13 @@ def learn(
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(picked), "doc_id")  # at most 2 * per_label rows
-        .select("doc_id", "y", "text")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id", "y")
+        .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # one text of an id that repeats
         .mapInArrow(run, "doc_id long, y int, x binary")
         .collect()  # at most 2 * per_label rows of fixed width
     )
     rows.sort(key=lambda r: r["doc_id"])
-    x = np.array([np.frombuffer(r["x"], np.float16) for r in rows], np.float32).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r["x"], np.float16) for r in rows], np.float32).reshape(len(rows), WIDE)
     return fit(x, np.array([r["y"] for r in rows], np.int64), shares, width, neighbours, sharpness)
 
 
