@@ -121,21 +121,20 @@ def dedup_lines(docs: DataFrame, *, min_words: int = 8) -> DataFrame:
         .groupBy(*KEY)
         .agg(F.collect_set("pos").alias("_gone"))
     )
-    all_lines = F.split("_text", "\n", -1)
     columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    kept = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("_gone"))
+    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in columns]).alias("_row"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     return (
-        _keyed(docs)
+        _keyed(rows)
+        .select("_row", *KEY, "_text")
         .alias("d")
         .join(gone.alias("g"), _same("d", "g"), "left")
-        .select(*[F.col(f"d.`{c}`") for c in columns], F.col("d._text").alias("_text"), "_gone")
-        .withColumn("_lines", all_lines)
-        .withColumn("n_lines", F.size("_lines"))
+        .select("_row", "_text", "_gone", F.split("_text", "\n", -1).alias("_lines"))
         .withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
         .select(
-            *columns,
+            *[F.col("_row")[c].alias(c) for c in columns],
             F.when(F.col("_kept").isNull(), F.col("_text")).otherwise(F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")).alias("text"),
-            F.col("n_lines").cast("long").alias("n_lines"),
+            F.size("_lines").cast("long").alias("n_lines"),
             F.coalesce(F.size("_gone").cast("long"), F.lit(0).cast("long")).alias("n_removed"),
         )
     )
