@@ -11,6 +11,7 @@ from casebook.sources import fixtures as fx
 from casebook.sources.tables import Tables
 
 CFG = FIXTURE_SETTINGS
+STAGED = "spark.casebook.staged"  # session setting: folder of document tables stored as an ingest would leave them
 _CACHE: dict[tuple[int, str], tuple[SparkSession, "Fixture"]] = {}
 
 
@@ -36,16 +37,21 @@ class Fixture:
         self.t = Tables(spark, sf_dir)
         self.spark = spark
 
+    def _staged(self, name: str) -> DataFrame | None:
+        """A document table written beforehand (see ``stage_documents``), where the session names their folder."""
+        root = self.spark.conf.get(STAGED, None)
+        return self.spark.read.parquet(f"{root}/{name}") if root else None
+
     @functools.cached_property
     def _tickets_raw(self) -> DataFrame:
-        return fx.ticket_documents(self.t.orders, self.t.customer, CFG)
+        return self._staged("tickets") or fx.ticket_documents(self.t.orders, self.t.customer, CFG)
 
     def tickets_raw(self) -> DataFrame:
         return self._tickets_raw
 
     @functools.cached_property
     def _messages_raw(self) -> DataFrame:
-        return fx.message_documents(self.t.conversations, CFG)
+        return self._staged("messages") or fx.message_documents(self.t.conversations, CFG)
 
     def messages_raw(self) -> DataFrame:
         return self._messages_raw
@@ -68,3 +74,10 @@ class Fixture:
 
     def staging(self) -> DataFrame:
         return fx.staging(self.t.orders)
+
+
+def stage_documents(spark: SparkSession, sf_dir: str, root: str, files: int) -> None:
+    """Write the ticket and message documents as stored tables of ``files`` files."""
+    f = Fixture(spark, sf_dir)
+    for name, docs in (("tickets", f.tickets_raw()), ("messages", f.messages_raw())):
+        docs.repartition(files, "id").write.mode("overwrite").parquet(f"{root}/{name}")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.session import tune
+from casebook.session import planned
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +24,7 @@ def query(name: str, oracle: str | None = None):
 
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            tune(spark)
-            return fn(spark, sf_dir)
+            return fn(planned(spark), sf_dir)
 
         QUERIES[name] = run
         if oracle is not None:

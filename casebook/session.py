@@ -19,18 +19,24 @@ JOB_CONF = {
     "spark.sql.python.filterPushdown.enabled": "true",
 }
 
-# Settings every job applies to whatever session it is handed. The document
-# projections alias many CASE expressions; constraint propagation then
-# enumerates alias combinations and planning takes minutes. Filters are
-# still pushed to the scans without it (PushDownPredicates does that).
+# Planner settings of the catalogue queries. The document projections alias
+# many CASE expressions; constraint propagation then enumerates alias
+# combinations and planning takes minutes. Filters are still pushed to the
+# scans without it (PushDownPredicates does that).
 PLAN_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
-def tune(spark: SparkSession) -> None:
-    for k, v in PLAN_CONF.items():
-        spark.conf.set(k, v)
+def planned(spark: SparkSession) -> SparkSession:
+    """A sibling session (same application, same settings) with ``PLAN_CONF``; the caller's own session stays as it is."""
+    own = getattr(spark, "_casebook_planned", None)
+    if own is None:
+        own = spark._casebook_planned = spark.newSession()
+    for k, v in {**spark.conf.getAll, **PLAN_CONF}.items():
+        if own.conf.get(k, None) != v and own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "casebook") -> SparkSession:

@@ -15,33 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A table stored as one file with one row group is read by one task, and
-    everything fused into that stage (JSON building, parsing, wide CASE
-    projections) then runs on one core. Round-robin repartitioning to the
-    default parallelism fixes that; column pruning still reaches the scan.
-    Large tables have many splits, so for them this is a no-op (no shuffle).
-    The target is capped at 16 partitions per existing split, so a tiny table
-    on a large cluster is not cut into thousands of empty tasks.
-    """
-    splits = df.rdd.getNumPartitions()
-    target = min(df.sparkSession.sparkContext.defaultParallelism, max(8, 16 * splits))
-    return df.repartition(target) if splits < target else df
-
-
 class Tables:
     """Attribute access to the driver tables of one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread_small: bool = True):
-        self.spark, self.sf_dir, self.spread_small = spark, sf_dir, spread_small
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            df = table(self.spark, self.sf_dir, name)
-            self._cache[name] = spread(df) if self.spread_small else df
+            self._cache[name] = table(self.spark, self.sf_dir, name)
         return self._cache[name]
