@@ -9,10 +9,11 @@ percent * |union|``. The result is each document's connected component.
    any ``l``. Each class takes the ``l`` (1 to ``LONGEST``) of least estimated cost: entries of the posting lists to
    read, plus the candidates they can make (entries / l) times the price of verifying one. A pair is a
    candidate if it shares the smaller of its two ``l``.
-4. Groups of near copies would make all pairs, so components grow first: in each of ``rounds`` rounds a class
-   is compared with one leader of another component that shares most of its prefix, and links merge components.
-   Afterwards every candidate pair of *different* components is verified, so no link between components is lost.
-5. Verification counts the shingles of both whole texts.
+4. Groups of near copies would make all pairs, linked or not. So each class is first compared with one leader of its
+   posting lists. Classes that resemble a leader (``NEAR``) have it as pivot; among classes of one pivot only those
+   pairs are looked at that share a *difference* from it (see ``around_pivots``), which loses no component. All
+   other candidate pairs, of different pivots and components, are generated from the posting lists.
+5. Verification counts the shingles of both whole texts, or of the differences from a common pivot.
 
 Words are lower-cased (A-Z) runs of bytes that are not ASCII white space; 64-bit hashes stand for words and shingles,
 128 bits for a whole set. Edge cases: null or empty texts have an empty set and stand alone; a text with fewer words
@@ -22,6 +23,7 @@ a node of its own, smaller than all others; an empty table gives no rows; other
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +36,10 @@ from casebook.llm.components import components
 from casebook.llm.frames import stored
 from casebook.llm.textarray import U64
 
-SLOTS, SLICE = 1 << 18, 1 << 12  # counters of the frequency sketch, and how many go in a row
+LEAST_BITS, MOST_BITS = 14, 24  # slots of the frequency sketch: 16 KB to 16 MB
 LONGEST = 4
 VERIFY = 50  # price of one verification in posting entries
+NEAR = 50  # least similarity, in percent, with a pivot
 LEAST_ID = -(1 << 63)
 
 
@@ -61,40 +64,50 @@ def shingle_sets(buf: np.ndarray, off: np.ndarray, words: int) -> Iterator[np.nd
             yield full[:0]
 
 
-def _slot(s: np.ndarray) -> np.ndarray:
-    return (s >> U64(46)).astype(np.int64)
-
-
 def frequencies(texts: DataFrame, words: int) -> np.ndarray:
-    """Counts of documents by shingle slot, over all documents: SLOTS numbers whatever the input."""
+    """Saturating counts of documents by shingle slot, over all documents.
+
+    There is a slot for about eight shingles, within 2 ** MOST_BITS of one byte each: the broadcast stays bounded
+    whatever the input. Counts only order the shingles, so a coarse sketch costs time, never a result.
+    """
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = int(np.clip(np.ceil(np.log2(max(size, 1) / 50)), LEAST_BITS, MOST_BITS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int64)
+        total = np.zeros(1 << bits, np.uint8)
         for t in ta.gathered(batches, 1, 1 << 20):
             buf, off = ta.texts_of(t.column(1))
             for i, j in ta.slices(off, 1 << 20):
-                sets = list(shingle_sets(buf[off[i] : off[j]], off[i : j + 1] - off[i], words))
-                total += np.bincount(_slot(np.concatenate(sets)), minlength=SLOTS)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(SLOTS // SLICE), pa.int32()), pa.array([x.tobytes() for x in total.reshape(-1, SLICE)], pa.binary())], names=["slice", "counts"])
+                slot, n = np.unique(_slot(np.concatenate(list(shingle_sets(buf[off[i] : off[j]], off[i : j + 1] - off[i], words))), bits), return_counts=True)
+                total[slot] = np.minimum(total[slot].astype(np.int64) + n, 255)
+        for k, part in enumerate(total.reshape(-1, 1 << LEAST_BITS)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=["slice", "counts"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("counts"))
-        return pa.table({"slice": table.column("slice").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+        total = np.zeros(1 << LEAST_BITS, np.int64)
+        for x in table.column("counts"):
+            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint8)
+        return pa.table({"slice": table.column("slice").slice(0, 1), "counts": pa.array([zlib.compress(np.minimum(total, 255).astype(np.uint8).tobytes(), 1)], pa.binary())})
 
     rows = texts.mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()
-    out = np.zeros((SLOTS // SLICE, SLICE), np.int64)
+    out = np.zeros((1 << (bits - LEAST_BITS), 1 << LEAST_BITS), np.uint8)
     for r in rows:
-        out[r["slice"]] = np.frombuffer(r["counts"], np.int64)
+        out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.uint8)
     return out.ravel()
 
 
+def _slot(s: np.ndarray, bits: int) -> np.ndarray:
+    return (s >> U64(64 - bits)).astype(np.int64)
+
+
 def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, n, d1, d2, prefix): set size, set digest and the LONGEST-match prefix, rarest shingles first."""
     held = texts.sparkSession.sparkContext.broadcast(frequencies(texts, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = held.value
+        bits = len(count).bit_length() - 1
         for t in ta.gathered(batches, 1, 1 << 20):
             buf, off = ta.texts_of(t.column(1))
             for i, j in ta.slices(off, 1 << 20):
@@ -102,7 +115,7 @@ def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 for s in shingle_sets(buf[off[i] : off[j]], off[i : j + 1] - off[i], words):
                     n = len(s)
                     take = min(n, n - -(-percent * n // 100) + LONGEST)
-                    order = np.lexsort((s, count[_slot(s)]))[:take]
+                    order = np.lexsort((s, count[_slot(s, bits)]))[:take]
                     rows.append((n, *(int(ta.mix(s ^ x).sum(dtype=U64).astype(np.int64)) for x in (ta.M1, ta.M3)), s[order].astype(np.int64)))
                 n, d1, d2, p = zip(*rows, strict=True)
                 flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, p)]), pa.int32()), pa.array(np.concatenate(p), pa.int64()))
@@ -111,85 +124,151 @@ def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, n long, d1 long, d2 long, prefix array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` (a, ad, b, bd: nodes and set digests) whose texts link."""
+def compared(pairs: DataFrame, texts: DataFrame, words: int, percent: int, near: int) -> DataFrame:
+    """Exact comparison of ``pairs`` (a, ad, b, bd: nodes and set digests) by their whole texts.
+
+    Rows of the pairs that link or whose similarity is at least ``near`` percent: (a, ad, b, bd, link, an, bn, apart,
+    diff), ``apart`` the size of the symmetric difference and ``diff`` its shingles if ``near`` is under 100.
+    """
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("at"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("bt"))
     rows = pairs.join(one, "a").join(two, "b").select("a", "ad", "at", "b", "bd", "bt")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            known: dict[tuple, tuple] = {}
+            known: dict[tuple, np.ndarray | None] = {}
 
             def sets(ids, digests, column) -> list:
-                todo = [k for k, key in enumerate(zip(ids, digests, strict=True)) if key not in known]
+                keys = list(zip(ids, digests, strict=True))
+                todo = [k for k, key in enumerate(keys) if known.get(key) is None]
                 found = shingle_sets(*ta.texts_of(column.take(pa.array(todo, pa.int64()))), words) if todo else ()
+                out: list = [known.get(key) for key in keys]
                 for k, s in zip(todo, found, strict=True):
                     right = int(ta.mix(s ^ ta.M1).sum(dtype=U64).astype(np.int64)) == digests[k]  # else another text of that id
-                    if right or (ids[k], digests[k]) not in known:
-                        known[ids[k], digests[k]] = s if right else None
-                return [known[key] for key in zip(ids, digests, strict=True)]
+                    out[k] = known[keys[k]] = s if right else None
+                return out
 
             a, ad, b, bd = (t.column(c).to_pylist() for c in (0, 1, 3, 4))
-            keep = []
+            keep: list[tuple] = []
             for k, (x, y) in enumerate(zip(sets(a, ad, t.column(2)), sets(b, bd, t.column(5)), strict=True)):
                 if x is not None and y is not None:
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        keep.append(k)
-            yield pa.RecordBatch.from_arrays([t.column(0).take(pa.array(keep, pa.int64())), t.column(3).take(pa.array(keep, pa.int64()))], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
+                    union = len(x) + len(y) - both
+                    if 100 * both >= min(near, percent) * union:
+                        diff = np.setxor1d(x, y, assume_unique=True).astype(np.int64) if near < 100 else None
+                        keep.append((a[k], ad[k], b[k], bd[k], 100 * both >= percent * union, len(x), len(y), union - both, diff))
+            types = [*[pa.int64()] * 4, pa.bool_(), *[pa.int64()] * 3, pa.list_(pa.int64())]
+            cols = list(zip(*keep, strict=True)) or [()] * 9
+            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types, strict=True)], names=["a", "ad", "b", "bd", "link", "an", "bn", "apart", "diff"])
 
+    return rows.mapInArrow(run, "a long, ad long, b long, bd long, link boolean, an long, bn long, apart long, diff array<long>")
 
-def _with_component(postings: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return postings.withColumn("comp", F.col("rep"))
-    found = components(links).select(F.col("node").alias("rep"), F.col("component").alias("_c"))
-    return postings.join(found, "rep", "left").withColumn("comp", F.coalesce("_c", "rep")).drop("_c")
 
+def most_apart(total, percent: int):
+    """The largest symmetric difference of two sets that link, given the sum of their sizes."""
+    return total - 2 * F.ceil(total * percent / (100 + percent))
 
-def _fits(a: str, b: str, percent: int):
-    """The size filter."""
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
+def leaders(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, ad, b, bd): each class with the root of its chain of leaders, if that is another class.
 
-def leader_pairs(postings: DataFrame, percent: int, seed: int) -> DataFrame:
-    """For each class, the leader of another component in its posting lists that it shares most entries with.
-
-    A list has one leader for each size band (drawn by hash and ``seed``), and one in the next component.
+    A posting list's leader, in each band of set sizes, is the class of least hash; a class follows the leader it
+    meets in most of its lists, if in at least half of them. Leaders have ever smaller hashes, so chains have ends.
     """
     band = F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))) if percent < 100 else F.col("n")
-    p = postings.withColumn("band", band).withColumn("draw", F.xxhash64("rep", F.lit(seed)))
-    entry = F.struct("draw", "comp", "rep", "d1", "n")
-    by_comp = p.groupBy("tok", "band", "comp").agg(F.min(entry).alias("e"))
-    first = by_comp.groupBy("tok", "band").agg(F.min("e").alias("e1"), F.count("*").alias("comps")).where("comps > 1")
-    second = by_comp.join(first.select("tok", "band", "e1"), ["tok", "band"]).where(F.col("comp") != F.col("e1.comp")).groupBy("tok", "band").agg(F.min("e").alias("e2"))
-    leaders = first.select("tok", "band", "e1").join(second, ["tok", "band"])
-    met = p.join(leaders, ["tok", "band"])
-    lead = F.when(F.col("e1.comp") != F.col("comp"), F.col("e1")).otherwise(F.col("e2"))
-    met = met.select("rep", "d1", "n", lead.alias("l")).where(_fits("n", "l.n", percent))
-    best = met.groupBy("rep", "d1", "l").agg(F.count("*").alias("shared")).groupBy("rep", "d1").agg(F.max(F.struct("shared", "l")).alias("m"))
-    return best.select(F.col("rep").alias("a"), F.col("d1").alias("ad"), F.col("m.l.rep").alias("b"), F.col("m.l.d1").alias("bd"))
-
-
-def cross_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs of different components. Members meet only through pairs of components of a list."""
-    p = postings.select("tok", "comp", "rep", "d1", "n", "ell")
-    comps = p.groupBy("tok", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    several = comps.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok")
-    comps = comps.join(several, "tok")
-    left = comps.select("tok", F.col("comp").alias("ca"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    right = comps.select("tok", F.col("comp").alias("cb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    met = left.join(right, "tok").where((F.col("ca") < F.col("cb")) & (F.col("ma") * 100 >= F.col("lb") * percent) & (F.col("mb") * 100 >= F.col("la") * percent))
-    one = p.select("tok", F.col("comp").alias("ca"), F.col("rep").alias("a"), F.col("d1").alias("ad"), F.col("n").alias("an"), F.col("ell").alias("al"))
-    two = p.select("tok", F.col("comp").alias("cb"), F.col("rep").alias("b"), F.col("d1").alias("bd"), F.col("n").alias("bn"), F.col("ell").alias("bl"))
-    pairs = met.select("tok", "ca", "cb").join(one, ["tok", "ca"]).join(two, ["tok", "cb"]).where(_fits("an", "bn", percent))
+    p = postings.withColumn("band", band).withColumn("me", F.struct(F.xxhash64("rep", "d1").alias("draw"), "rep", "d1"))
+    lead = p.groupBy("tok", "band").agg(F.min("me").alias("lead"))
+    met = p.join(lead, ["tok", "band"]).groupBy("me", "lead").agg(F.count("*").alias("shared"))
+    best = met.groupBy("me").agg(F.max(F.struct("shared", "lead")).alias("m"), F.sum("shared").alias("lists"))
+    up = stored(best.where("m.shared * 2 >= lists and m.lead <> me").select("me", F.col("m.lead").alias("up")), "jaccard-leaders")
+    root = up
+    for _ in range(3):
+        step = up.select(F.col("me").alias("up"), F.col("up").alias("next"))
+        root = root.join(step, "up", "left").select("me", F.coalesce("next", "up").alias("up"))
+    return root.select(F.col("me.rep").alias("a"), F.col("me.d1").alias("ad"), F.col("up.rep").alias("b"), F.col("up.d1").alias("bd"))
+
+
+def around_pivots(near: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of one pivot that aren't both linked with it.
+
+    Let D(x) be the difference of x from the pivot. Two classes link if ``|D(x)| + |D(y)| - 2 |D(x) & D(y)|`` is small
+    enough. If it were so without a shared difference, both would link with the pivot; so a pair must share
+    differences, which are few and rare, while the classes share nearly all their shingles. Prefixes of D in order of
+    frequency around the pivot find such pairs: x can only link if it shares ``|D(x)| - most apart`` of them, and if
+    it links with the pivot itself, about half. A class is first compared with the class of least difference in each of
+    its lists, as many pairs as entries; then with all those of other components.
+    """
+    x = near.select(F.col("a").alias("rep"), F.col("ad").alias("d1"), F.struct("b", "bd").alias("pivot"), "link", F.col("an").alias("n"), F.col("bn").alias("pn"), "apart", "diff")
+    largest = x.groupBy("pivot").agg(F.max("n").alias("largest"))
+    each = x.select("rep", "d1", "pivot", F.explode("diff").alias("tok"))
+    df = each.groupBy("pivot", "tok").agg(F.count("*").alias("df"))
+    order = each.join(df, ["pivot", "tok"]).groupBy("rep", "d1", "pivot").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("order"))
+    must = F.greatest(
+        F.lit(1),
+        F.col("apart") - most_apart(F.col("n") + F.least("largest", F.floor(F.col("n") * 100 / percent)), percent) - 1,
+        F.when(F.col("link"), F.ceil((F.col("apart") + 1 - F.abs(F.col("n") - F.col("pn"))) / 2)).otherwise(1),
+    )
+    x = x.drop("diff").join(order, ["rep", "d1", "pivot"]).join(largest, "pivot").withColumn("must", must.cast("int"))
+    x = x.withColumn("may", F.size(F.filter("order", lambda o: o["df"] > 1))).where("may >= must")
+    x = x.withColumn("prefix", F.filter(F.slice("order", 1, F.greatest(F.col("apart") - F.col("must") + 1, F.lit(0)).cast("int")), lambda o: o["df"] > 1)["tok"])
+    x = stored(x.withColumn("diff", F.col("order")["tok"]).drop("order"), "jaccard-satellites")
+    key = x.select("rep", "d1", "pivot", "link", "n", "apart", "may", F.explode("prefix").alias("tok"))
+    one, two = (key.select("pivot", "tok", *[F.col(c).alias(f"{c}{k}") for c in ("rep", "d1", "n", "apart", "may", "link")]) for k in (1, 2))
+
+    def possible(n, apart, may):
+        return F.col("apart1") + apart - 2 * F.least("may1", may) <= most_apart(F.col("n1") + n, percent)
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """The (rep1, rep2) of pairs (rep1, d11, rep2, d12, n1, n2) that link, by their differences."""
+        left = x.select(F.col("rep").alias("rep1"), F.col("d1").alias("d11"), F.col("apart").alias("apart1"), F.col("diff").alias("diff1"))
+        right = x.select(F.col("rep").alias("rep2"), F.col("d1").alias("d12"), F.col("apart").alias("apart2"), F.col("diff").alias("diff2"))
+        rows = pairs.distinct().join(left, ["rep1", "d11"]).join(right, ["rep2", "d12"])
+        apart = F.col("apart1") + F.col("apart2") - 2 * F.size(F.array_intersect("diff1", "diff2"))
+        rows = rows.where(apart <= most_apart(F.col("n1") + F.col("n2"), percent))
+        return stored(rows.select(F.col("rep1").alias("a"), F.col("rep2").alias("b")), name)
+
+    best = key.groupBy("pivot", "tok").agg(F.min(F.struct("apart", "rep", "d1", "n", "may")).alias("l"))
+    met = one.where("not link1").join(best, ["pivot", "tok"]).where((F.col("l.rep") != F.col("rep1")) & possible(F.col("l.n"), F.col("l.apart"), F.col("l.may")))
+    first = linked(met.select("rep1", "d11", F.col("l.rep").alias("rep2"), F.col("l.d1").alias("d12"), "n1", F.col("l.n").alias("n2")), "jaccard-around")
+    known = near.where("link").select("a", "b").unionByName(first)
+    comp = components(known)
+    sides = []
+    for k, side in ((1, one.where("not link1")), (2, two)):
+        c = comp.select(F.col("node").alias(f"rep{k}"), F.col("component").alias("_c"))
+        sides.append(side.join(c, f"rep{k}", "left").withColumn(f"comp{k}", F.coalesce("_c", f"rep{k}")).drop("_c"))
+    one, two = sides
+    differ = (F.col("comp1") != F.col("comp2")) & (F.col("link2") | (F.struct("rep1", "d11") < F.struct("rep2", "d12")))
+    on = [one[c] == two[c] for c in ("pivot", "tok")]
+    met = one.join(two, [*on, differ, possible(F.col("n2"), F.col("apart2"), F.col("may2"))])
+    return first.unionByName(linked(met.select("rep1", "d11", "rep2", "d12", "n1", "n2"), "jaccard-around"))
+
+
+def cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All candidate pairs (a, ad, b, bd) of different pivots and components that share enough prefix entries.
+
+    ``members`` are posting entries (tok, rep, d1, n, alone, ell, pivot, comp); ``alone`` counts the shingles of the
+    prefix that no other class has, which count against any pair. Classes of one pivot never meet here.
+    """
+    p = members.select("tok", "pivot", "comp", "rep", "d1", "n", "alone", "ell")
+    groups = p.groupBy("tok", "pivot").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("alone").alias("alone"))
+    several = groups.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok")
+    groups = groups.join(several, "tok")
+    left = groups.select("tok", F.col("pivot").alias("pa"), F.col("least").alias("la"), F.col("most").alias("ma"), F.col("alone").alias("ua"))
+    right = groups.select("tok", F.col("pivot").alias("pb"), F.col("least").alias("lb"), F.col("most").alias("mb"), F.col("alone").alias("ub"))
+    sizes = (F.col("ma") * 100 >= F.col("lb") * percent) & (F.col("mb") * 100 >= F.col("la") * percent)
+    rest = F.col("ua") + F.col("ub") <= most_apart(F.col("ma") + F.col("mb"), percent) + 1
+    met = left.join(right, [left["tok"] == right["tok"], F.col("pa") < F.col("pb"), sizes, rest]).select(left["tok"], "pa", "pb")
+    one = p.select("tok", F.col("pivot").alias("pa"), F.col("comp").alias("ca"), F.col("rep").alias("a"), F.col("d1").alias("ad"), F.col("n").alias("an"), F.col("alone").alias("ua"), F.col("ell").alias("al"))
+    two = p.select("tok", F.col("pivot").alias("pb"), F.col("comp").alias("cb"), F.col("rep").alias("b"), F.col("d1").alias("bd"), F.col("n").alias("bn"), F.col("alone").alias("ub"), F.col("ell").alias("bl"))
+    half = met.join(one, ["tok", "pa"])
+    fits = (F.col("an") * 100 >= F.col("bn") * percent) & (F.col("bn") * 100 >= F.col("an") * percent)
+    rest = F.col("ua") + F.col("ub") <= most_apart(F.col("an") + F.col("bn"), percent)
+    pairs = half.join(two, [half["tok"] == two["tok"], half["pb"] == two["pb"], F.col("ca") != F.col("cb"), fits, rest])
     counted = pairs.groupBy("a", "ad", "b", "bd").agg(F.count("*").alias("shared"), F.min(F.least("al", "bl")).alias("need"))
     return counted.where("shared >= need").select("a", "ad", "b", "bd")
 
 
-def links(texts: DataFrame, sets: DataFrame, words: int, percent: int, rounds: int) -> DataFrame:
+def links(texts: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """Edges (a, b) whose components are those of the similarity graph between classes."""
     classes = stored(sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("node").alias("rep"), F.first("prefix").alias("prefix")), "jaccard-classes")
     postings = classes.select("rep", "d1", "n", F.posexplode("prefix").alias("pos", "tok"))
@@ -198,25 +277,29 @@ def links(texts: DataFrame, sets: DataFrame, words: int, percent: int, rounds: i
     base = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     reads = [F.sum(F.when(F.col("pos") < base + ell, F.col("df") - 1).otherwise(0)).alias(f"c{ell + 1}") for ell in range(LONGEST)]
     cost = [F.struct((F.col(f"c{e}") * (1 + VERIFY / e)).alias("cost"), F.lit(e).alias("ell")) for e in range(1, LONGEST + 1)]
-    ell = postings.groupBy("rep", "d1").agg(*reads).select("rep", "d1", F.least(*cost)["ell"].alias("ell"))
-    postings = stored(postings.join(ell, ["rep", "d1"]).where(F.col("pos") < base + F.col("ell") - 1).select("tok", "rep", "d1", "n", "ell"), "jaccard-prefixes")
+    length = F.least(F.first("n"), F.first(base) + LONGEST - 1)
+    ell = postings.groupBy("rep", "d1").agg(*reads, (length - F.count("*")).alias("alone")).select("rep", "d1", "alone", F.least(*cost)["ell"].alias("ell"))
+    postings = stored(
+        postings.join(ell, ["rep", "d1"]).where(F.col("pos") < base + F.col("ell") - 1).select("tok", "rep", "d1", "n", "alone", "ell"), "jaccard-prefixes"
+    )
     known = stored(texts.join(postings.select(F.col("rep").alias("node")).distinct(), "node"), "jaccard-texts")
-    found = None
-    for k in range(rounds):
-        pairs = leader_pairs(_with_component(postings, found), percent, k)
-        more = stored(verified(pairs, known, words, percent), "jaccard-links")
-        found = more if found is None else found.unionByName(more)
-    more = stored(verified(cross_pairs(stored(_with_component(postings, found), "jaccard-members"), percent), known, words, percent), "jaccard-links")
-    return more if found is None else found.unionByName(more)
+    near = stored(compared(leaders(postings, percent), known, words, percent, NEAR), "jaccard-near")
+    found = stored(near.where("link").select("a", "b").unionByName(around_pivots(near, percent)), "jaccard-links")
+    comp = components(found).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+    pivot = near.select(F.col("a").alias("rep"), F.col("ad").alias("d1"), F.struct("b", "bd").alias("_p"))
+    me = F.struct(F.col("rep").alias("b"), F.col("d1").alias("bd"))
+    members = postings.join(pivot, ["rep", "d1"], "left").join(comp, "rep", "left").withColumn("pivot", F.coalesce("_p", me)).withColumn("comp", F.coalesce("comp", "rep"))
+    more = compared(cross_pairs(stored(members.drop("_p"), "jaccard-members"), percent), known, words, percent, 100)
+    return found.unionByName(stored(more.select("a", "b"), "jaccard-links"))
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("node"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     sets = stored(prefixes(texts, words, percent), "jaccard-sets")
-    between = links(texts, sets, words, percent, rounds)
+    between = links(texts, sets, words, percent)
     full = sets.where("n > 0")
     rep = full.groupBy("n", "d1", "d2").agg(F.min("node").alias("b"))
     within = full.join(rep, ["n", "d1", "d2"]).select(F.col("node").alias("a"), "b")

@@ -159,6 +159,32 @@ def test_near(spark, words, percent):
     assert Counter((i, len(shingle_set(t, words)), want[i]) for i, t in rows) == Counter((r.doc_id, r.n_shingles, r.component_id) for r in got)
 
 
+@pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
+def test_near_group(spark, words, percent):
+    """A group of near copies, copies of copies and common passages, most pairs of which don't link."""
+    import random
+
+    from tests.llm.cases import text
+
+    rng = random.Random(words)
+    base = text(rng, 150).split(" ")
+    made = [base]
+    for k in range(130):
+        t = list(rng.choice(made) if rng.random() < 0.4 else base)
+        for _ in range(rng.randrange(1, 9)):
+            t[rng.randrange(len(t))] = rng.choice(["x", "y", f"w{rng.randrange(400)}"])
+        if rng.random() < 0.3:
+            t = rng.choice(["one common line of several words here", "another line that many documents have"]).split() + t
+        if rng.random() < 0.2:
+            del t[rng.randrange(len(t)) :][: rng.randrange(1, 20)]
+        made.append(t)
+    rows = [(k, " ".join(t)) for k, t in enumerate(made)]
+    rng.shuffle(rows)
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(spark, rows), words=words, percent=percent).collect()}
+    want = jaccard_components(rows, words, percent)
+    assert got == want and 1 < len(set(want.values())) < len(rows)
+
+
 def test_components(spark):
     chain = [(k + 1, k) for k in range(20)] + [(50, 40), (41, 50), (7, 7), (50, 40)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
