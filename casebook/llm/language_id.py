@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -191,17 +192,25 @@ def learn(docs: DataFrame, *, per_language: int = 1500, most_languages: int = 25
 
     Each drawn document gives one window, at a place drawn by the hash of its id.
     """
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(5) != 0)
-    )
-    languages = sorted(r["lang"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(most_languages + 1).collect())
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & (fold(5) != 0))
+    languages = sorted(r["lang"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(most_languages + 1).collect())
     if len(languages) > most_languages:
         raise ValueError(f"more than {most_languages} languages")
+    if not languages:
+        return train(np.empty((0, WINDOW), np.uint8), np.empty(0, np.int64), np.empty(0, np.int64), [], **settings)
+    tops = [ids.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language) for lang in languages]
+    drawn = reduce(DataFrame.unionByName, tops).distinct()  # ids only: the texts are read once, below
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.length("text") - WINDOW // 2, F.lit(1))).cast("int") + 1
-    drawn = known.select("doc_id", "lang", F.col("text").substr(place, F.lit(WINDOW)).alias("text"))
-    rows: list = []
-    for lang in languages:  # a top-k of fixed-width rows for each language
-        rows += drawn.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(per_language).collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = (
+        texts.where("text IS NOT NULL")
+        .join(F.broadcast(drawn), ["doc_id", "lang"])  # at most per_language rows of each language
+        .select("doc_id", "lang", F.col("text").substr(place, F.lit(WINDOW)).alias("text"))
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))  # one text of an id that repeats
+        .orderBy("lang", "doc_id")
+        .collect()  # as many rows, each of one window
+    )
     x, size, y = np.full((len(rows), WINDOW), 32, np.uint8), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
     for i, r in enumerate(rows):
         b = np.frombuffer(r["text"].encode()[:WINDOW], np.uint8)
