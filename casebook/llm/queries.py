@@ -105,3 +105,64 @@ SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size,
   doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
 """
+
+ORACLES["op3_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+p AS (SELECT doc_id, unnest(range(0, octet_length(x) - 99)) AS pos, x FROM d WHERE octet_length(x) >= 100),
+g AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY array_slice(x, pos + 1, pos + 100) ORDER BY doc_id, pos) AS n FROM p),
+e AS (
+  SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM g WHERE n > 1),
+s AS (SELECT doc_id, pos, sum(CASE WHEN before IS NULL OR pos > before + 100 THEN 1 ELSE 0 END)
+  OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM e),
+r AS (SELECT doc_id, span, min(pos) AS lo, max(pos) + 100 AS hi FROM s GROUP BY doc_id, span),
+k AS (
+  SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed, list(lo ORDER BY lo) AS los, list(hi ORDER BY lo) AS his
+  FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN los IS NULL THEN x ELSE unhex(array_to_string(list_transform(range(0, len(los) + 1), lambda i:
+    CASE WHEN i = 0 AND los[1] = 0 OR i = len(los) AND his[i] = octet_length(x) THEN ''
+      ELSE hex(array_slice(x, CASE WHEN i = 0 THEN 1 ELSE his[i] + 1 END, CASE WHEN i = len(los) THEN octet_length(x) ELSE los[i + 1] END)) END), '')) END)
+    AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
+def _secrets_sql() -> str:
+    parts = []
+    for k, r in enumerate(secret_scan.RULES):
+        p = "'" + r.pattern.replace("'", "''") + "'"
+        parts.append(
+            f"SELECT doc_id, {k} AS k, '{r.name}' AS kind, {str(r.base).upper()} AS base, string_split_regex(t, {p}) AS gaps, regexp_extract_all(t, {p}, 0) AS hits, "
+            f"regexp_extract_all(t, {p}, {r.group}) AS parts, {r.least} AS least FROM d WHERE regexp_matches(t, {p})"
+        )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({' UNION ALL '.join(parts)}),
+i AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+s AS (
+  SELECT doc_id, k, kind, base, length(array_to_string(gaps[1:i], '')) + length(array_to_string(hits[1:i - 1], '')) AS a, length(hits[i]) AS n
+  FROM i WHERE length(parts[i]) >= least)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, k) FILTER (base), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, k) FILTER (kind IS NOT NULL), '') AS spans
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+ORACLES["op8_secret_scan"] = _secrets_sql()
+
+ORACLES["op10_jaccard_join"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM g x JOIN g y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT b.a, b.b FROM b JOIN n na ON na.doc_id = b.a JOIN n nb ON nb.doc_id = b.b WHERE 100 * b.m >= 90 * (na.n + nb.n - b.m)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS doc_id, a AS c FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON m.doc_id = w.doc_id
+"""
