@@ -33,7 +33,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
+    return exact_dedup.deduplicate(spark, f"{sf_dir}/documents.parquet").drop("keep_file", "keep_row")
 
 
 @query
