@@ -243,27 +243,41 @@ def around_pivots(near: DataFrame, percent: int) -> DataFrame:
     return first.unionByName(linked(met.select("rep1", "d11", "rep2", "d12", "n1", "n2"), "jaccard-around"))
 
 
+def can_link(a: str, b: str, percent: int):
+    """Whether entries ``a`` and ``b`` of one shingle (struct columns: n, before, rest, own) leave room for a link.
+
+    The common order splits both sets at the shingle. What they share before it lies in both prefixes, so no more than
+    the shared entries ``before`` it there. What they share after it is at most the ``rest`` of either; and of the
+    prefix that ends first, those shingles that no other class has in its prefix can't lie in the other set at all
+    (``own`` is the rest without them). Such shingles of the prefix that ends last may: the other set can hold them
+    beyond its prefix. Of groups, the least n and the greatest of the others are given.
+    """
+    after = F.greatest(F.least(F.col(f"{a}.own"), F.col(f"{b}.rest")), F.least(F.col(f"{a}.rest"), F.col(f"{b}.own")))
+    both = F.least(F.col(f"{a}.before"), F.col(f"{b}.before")) + 1 + after
+    return both * (100 + percent) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent
+
+
 def cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs (a, ad, b, bd) of different pivots and components that share enough prefix entries.
 
-    ``members`` are posting entries (tok, rep, d1, n, alone, ell, pivot, comp); ``alone`` counts the shingles of the
-    prefix that no other class has, which count against any pair. Classes of one pivot never meet here.
+    ``members`` are posting entries (tok, rep, d1, n, before, rest, own, ell, pivot, comp); for before, rest and own see
+    ``can_link``. Classes of one pivot never meet here.
     """
-    p = members.select("tok", "pivot", "comp", "rep", "d1", "n", "alone", "ell")
-    groups = p.groupBy("tok", "pivot").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("alone").alias("alone"))
+    p = members.select("tok", "pivot", "comp", "rep", "d1", "ell", "n", "before", "rest", "own")
+    groups = p.groupBy("tok", "pivot").agg(F.max("n").alias("most"), F.struct(F.min("n").alias("n"), *[F.max(c).alias(c) for c in ("before", "rest", "own")]).alias("g"))
     several = groups.groupBy("tok").agg(F.count("*").alias("c")).where("c > 1").select("tok")
     groups = groups.join(several, "tok")
-    left = groups.select("tok", F.col("pivot").alias("pa"), F.col("least").alias("la"), F.col("most").alias("ma"), F.col("alone").alias("ua"))
-    right = groups.select("tok", F.col("pivot").alias("pb"), F.col("least").alias("lb"), F.col("most").alias("mb"), F.col("alone").alias("ub"))
-    sizes = (F.col("ma") * 100 >= F.col("lb") * percent) & (F.col("mb") * 100 >= F.col("la") * percent)
-    rest = F.col("ua") + F.col("ub") <= most_apart(F.col("ma") + F.col("mb"), percent) + 1
-    met = left.join(right, [left["tok"] == right["tok"], F.col("pa") < F.col("pb"), sizes, rest]).select(left["tok"], "pa", "pb")
-    one = p.select("tok", F.col("pivot").alias("pa"), F.col("comp").alias("ca"), F.col("rep").alias("a"), F.col("d1").alias("ad"), F.col("n").alias("an"), F.col("alone").alias("ua"), F.col("ell").alias("al"))
-    two = p.select("tok", F.col("pivot").alias("pb"), F.col("comp").alias("cb"), F.col("rep").alias("b"), F.col("d1").alias("bd"), F.col("n").alias("bn"), F.col("alone").alias("ub"), F.col("ell").alias("bl"))
-    half = met.join(one, ["tok", "pa"])
-    fits = (F.col("an") * 100 >= F.col("bn") * percent) & (F.col("bn") * 100 >= F.col("an") * percent)
-    rest = F.col("ua") + F.col("ub") <= most_apart(F.col("an") + F.col("bn"), percent)
-    pairs = half.join(two, [half["tok"] == two["tok"], half["pb"] == two["pb"], F.col("ca") != F.col("cb"), fits, rest])
+    left = groups.select("tok", F.col("pivot").alias("pa"), F.col("most").alias("ma"), F.col("g").alias("ga"))
+    right = groups.select("tok", F.col("pivot").alias("pb"), F.col("most").alias("mb"), F.col("g").alias("gb"))
+    sizes = (F.col("ma") * 100 >= F.col("gb.n") * percent) & (F.col("mb") * 100 >= F.col("ga.n") * percent)
+    met = left.join(right, [left["tok"] == right["tok"], F.col("pa") < F.col("pb"), sizes, can_link("ga", "gb", percent)]).select(left["tok"], "pa", "pb", "gb", "mb")
+    entry = F.struct("n", "before", "rest", "own")
+    one = p.select("tok", F.col("pivot").alias("pa"), F.col("comp").alias("ca"), F.col("rep").alias("a"), F.col("d1").alias("ad"), entry.alias("ea"), F.col("ell").alias("al"))
+    two = p.select("tok", F.col("pivot").alias("pb"), F.col("comp").alias("cb"), F.col("rep").alias("b"), F.col("d1").alias("bd"), entry.alias("eb"), F.col("ell").alias("bl"))
+    sizes = (F.col("mb") * 100 >= F.col("ea.n") * percent) & (F.col("ea.n") * 100 >= F.col("gb.n") * percent)
+    half = met.join(one, [met["tok"] == one["tok"], met["pa"] == one["pa"], sizes, can_link("ea", "gb", percent)]).select(met["tok"], "pb", "ca", "a", "ad", "ea", "al")
+    fits = (F.col("ea.n") * 100 >= F.col("eb.n") * percent) & (F.col("eb.n") * 100 >= F.col("ea.n") * percent)
+    pairs = half.join(two, [half["tok"] == two["tok"], half["pb"] == two["pb"], F.col("ca") != F.col("cb"), fits, can_link("ea", "eb", percent)])
     counted = pairs.groupBy("a", "ad", "b", "bd").agg(F.count("*").alias("shared"), F.min(F.least("al", "bl")).alias("need"))
     return counted.where("shared >= need").select("a", "ad", "b", "bd")
 
@@ -277,10 +291,12 @@ def links(texts: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     base = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     reads = [F.sum(F.when(F.col("pos") < base + ell, F.col("df") - 1).otherwise(0)).alias(f"c{ell + 1}") for ell in range(LONGEST)]
     cost = [F.struct((F.col(f"c{e}") * (1 + VERIFY / e)).alias("cost"), F.lit(e).alias("ell")) for e in range(1, LONGEST + 1)]
-    length = F.least(F.first("n"), F.first(base) + LONGEST - 1)
-    ell = postings.groupBy("rep", "d1").agg(*reads, (length - F.count("*")).alias("alone")).select("rep", "d1", "alone", F.least(*cost)["ell"].alias("ell"))
+    held = postings.groupBy("rep", "d1").agg(F.first("n").alias("n"), *reads, F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("held"))
+    held = held.withColumn("ell", F.least(*cost)["ell"]).select("rep", "d1", "n", "ell", F.size("held").alias("many"), F.posexplode("held").alias("before", "at"))
+    rest = F.col("n") - F.col("at.pos") - 1
+    alone_after = F.least("n", base + LONGEST - 1) - F.col("many") - (F.col("at.pos") - F.col("before"))
     postings = stored(
-        postings.join(ell, ["rep", "d1"]).where(F.col("pos") < base + F.col("ell") - 1).select("tok", "rep", "d1", "n", "alone", "ell"), "jaccard-prefixes"
+        held.where(F.col("at.pos") < base + F.col("ell") - 1).select("at.tok", "rep", "d1", "n", "before", rest.alias("rest"), (rest - alone_after).alias("own"), "ell"), "jaccard-prefixes"
     )
     known = stored(texts.join(postings.select(F.col("rep").alias("node")).distinct(), "node"), "jaccard-texts")
     near = stored(compared(leaders(postings, percent), known, words, percent, NEAR), "jaccard-near")

@@ -200,3 +200,27 @@ def test_empty_tables(spark, tmp_path):
     path = str(tmp_path / "none")
     none.write.parquet(path)
     assert exact_dedup.deduplicate(spark, path).count() == 0
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
+def test_near_of_other_sizes(spark, words, percent):
+    """Texts with a passage appended or cut off, across size bands, one of each family with many exact copies."""
+    import random
+
+    from tests.llm.cases import text
+
+    rng = random.Random(words)
+    made = []
+    for size in (60, 104, 170, 240, 310):
+        for most in (True, False):
+            base = text(rng, size).split()
+            new = [f"new{rng.randrange(10**9)}" for _ in range(size)]
+            family = [base]
+            for share in (3, 8, 14, 19):
+                k = size * share // 100
+                family += [base + new[:k], base[: size - k], new[-k:] + base]
+            made += family + [base if most else family[4]] * 35
+    rows = [(k, " ".join(t)) for k, t in enumerate(made)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(spark, rows), words=words, percent=percent).collect()}
+    want = jaccard_components(rows, words, percent)
+    assert got == want and 1 < len(set(want.values())) < len(rows)
