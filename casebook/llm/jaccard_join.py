@@ -6,9 +6,9 @@ percent * |union|``. The result is each document's connected component.
 1. Equal sets collapse to one class (a copy is linked with its class, never with every other copy).
 2. Shingles are ordered by estimated frequency, rarest first, from a count sketch of fixed size over all documents.
 3. A linked pair must share at least ``l`` shingles among the first ``n - ceil(percent * n / 100) + l`` of each, for
-   any ``l``. Each class takes the ``l`` (1 to ``LONGEST``) of least estimated cost: entries of the posting lists to
-   read, plus the candidates they can make (entries / l) times the price of verifying one. A pair is a
-   candidate if it shares the smaller of its two ``l``.
+   any ``l`` up to the least overlap of a link. Each class takes the ``l`` (1 to ``LONGEST``) of least estimated cost:
+   entries of the posting lists to read, plus the candidates they can make (entries / l) times the price of verifying
+   one. A pair is a candidate if it shares the smaller of its two ``l``.
 4. Groups of near copies would make all pairs, linked or not. So each class is first compared with one leader of its
    posting lists. Classes that resemble a leader (``NEAR``) have it as pivot; among classes of one pivot only those
    pairs are looked at that share a *difference* from it (see ``around_pivots``), which loses no component. All
@@ -290,7 +290,8 @@ def links(texts: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     postings = stored(postings.join(shared, "tok"), "jaccard-postings")
     base = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     reads = [F.sum(F.when(F.col("pos") < base + ell, F.col("df") - 1).otherwise(0)).alias(f"c{ell + 1}") for ell in range(LONGEST)]
-    cost = [F.struct((F.col(f"c{e}") * (1 + VERIFY / e)).alias("cost"), F.lit(e).alias("ell")) for e in range(1, LONGEST + 1)]
+    overlap = F.ceil(F.col("n") * percent / 100)  # the least that any link of the class shares
+    cost = [F.when(overlap >= e, F.struct((F.col(f"c{e}") * (1 + VERIFY / e)).alias("cost"), F.lit(e).alias("ell"))) for e in range(1, LONGEST + 1)]
     held = postings.groupBy("rep", "d1").agg(F.first("n").alias("n"), *reads, F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("held"))
     held = held.withColumn("ell", F.least(*cost)["ell"]).select("rep", "d1", "n", "ell", F.size("held").alias("many"), F.posexplode("held").alias("before", "at"))
     rest = F.col("n") - F.col("at.pos") - 1

@@ -224,3 +224,15 @@ def test_near_of_other_sizes(spark, words, percent):
     got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(spark, rows), words=words, percent=percent).collect()}
     want = jaccard_components(rows, words, percent)
     assert got == want and 1 < len(set(want.values())) < len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 60, 70])
+def test_near_of_small_sets(spark, percent):
+    """A link of small sets shares fewer shingles than the longest match."""
+    rows = []
+    for k in range(12):
+        n = 5 + k % 3
+        t = [f"f{k}w{j}" for j in range(n + 3)]
+        rows += [(10 * k + j, " ".join(t[: n + j])) for j in range(4)] + [(10 * k + 5, " ".join(["x", *t[:n]]))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(frame(spark, rows), words=3, percent=percent).collect()}
+    assert got == jaccard_components(rows, 3, percent)
