@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, packing, pseudonyms, quality, secret_scan, suffix_dedup
+from casebook.llm import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, packing, pseudonyms, quality, secret_scan, suffix_dedup, warc
 from casebook.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(spark, table(spark, sf_dir, "pages"))
+
+
 ORACLES["op1_line_dedup"] = """
 WITH l AS (
   SELECT doc_id, unnest(range(len(x))) AS pos, unnest(x) AS line
@@ -166,3 +171,13 @@ r AS (SELECT a AS doc_id, a AS c FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON m.doc_id = w.doc_id
 """
+
+ORACLES["op13_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS x FROM pages),
+d AS (
+  SELECT page_id, x, list_transform(range(4), lambda k: CAST('0x' || substr(sha1(x), CAST(10 * k + 1 AS INT), 10) AS BIGINT)) AS fives, max(page_id) OVER (PARTITION BY x) AS first FROM p)
+SELECT page_id, CAST(octet_length(x) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((fives[i // 8 + 1] >> (35 - 5 * (i % 8))) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
