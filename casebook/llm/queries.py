@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casebook.llm import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, packing, pseudonyms, quality, secret_scan, suffix_dedup, warc
 from casebook.llm.frames import table
@@ -80,7 +81,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.digest(spark, table(spark, sf_dir, "pages"))
+    row_id = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return warc.digest(spark, table(spark, sf_dir, "pages"), row_id=row_id)
 
 
 ORACLES["op1_line_dedup"] = """

@@ -2,6 +2,7 @@
 
 import base64
 import glob
+import gzip
 import hashlib
 
 import pytest
@@ -55,13 +56,17 @@ def test_digest_matches_brute_force(spark, least):
     assert ordered(got.collect()) == ordered(expected(PAGES, least))
 
 
+def files_of(archive):
+    return glob.glob(archive.files.removeprefix("file:") + "/*.warc.gz")
+
+
 def test_archive_bytes_and_selected_reads(spark):
-    archive = warc.write_archive(frame(spark, PAGES).repartition(4), segment_bytes=60_000)
-    assert warc.check_segments(spark, archive).count() == 0
+    archive = warc.write_archive(frame(spark, PAGES).repartition(2), file_bytes=2_000)
+    assert warc.broken(spark, archive).count() == 0 == warc.orphans(spark, archive).count()
     index = spark.read.parquet(archive.index)
-    assert index.select("segment").distinct().count() > 3
+    assert index.select("file").distinct().count() > 4
     some = index.where("page_id % 3 = 0")
-    got = {r.page_id: r for r in warc.read_records(spark, archive, some, gap=0, read_bytes=4096).collect()}
+    got = {r.page_id: r for r in warc.read_records(spark, archive, some, gap=0, read_bytes=1024).collect()}
     texts = {p: h or "" for p, _, h in PAGES if p is not None and p % 3 == 0}
     assert set(got) == set(texts)
     for p, r in got.items():
@@ -70,31 +75,39 @@ def test_archive_bytes_and_selected_reads(spark):
     assert urls[3] == urls[4] == "about:blank" and urls[7] == "http://a.example/long"
     assert urls[5] == "http://a.example/a%20b%0D%0AX:%20y" and urls[6] == "http://b%C3%BCcher.example/%C3%BC%20%F0%9F%98%80"
     # the archive can be walked without the index
-    for f in glob.glob(archive.segments.removeprefix("file:") + "/*/*.txt"):
-        data, n = open(f, "rb").read(), 0
+    for f in files_of(archive):
+        data, n = gzip.open(f).read(), 0
         while data:
             head, _, rest = data.partition(b"\r\n\r\n")
             size = int(dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])["Content-Length"])
             assert rest[size : size + 4] == b"\r\n\r\n"
             data, n = rest[size + 4 :], n + 1
-        assert n == index.where(F.col("segment") == int(f.split("segment=")[1].split("/")[0])).count() + 1
+        assert n == index.where(F.col("file") == f.split("/")[-1]).count() + 1
 
 
 def test_reads_are_merged(spark):
-    rows = [(0, 500, 100), (0, 600, 100), (0, 705, 10), (0, 900, 50), (0, 2100, 900), (1, 0, 10)]
-    df = spark.createDataFrame(rows, "segment int, offset long, length long")
-    got = warc.plan_reads(df, gap=5, read_bytes=2000).select("segment", "start", "stop", F.size("records")).collect()
-    assert ordered(got) == [(0, 2100, 3000, 1), (0, 500, 715, 3), (0, 900, 950, 1), (1, 0, 10, 1)]
+    rows = [("f", 500, 100), ("f", 600, 100), ("f", 705, 10), ("f", 900, 50), ("f", 2100, 900), ("g", 0, 10)]
+    df = spark.createDataFrame(rows, "file string, offset long, length long")
+    got = warc.plan_reads(df, gap=5, read_bytes=2000).select("file", "start", "stop", F.size("records")).collect()
+    assert ordered(got) == [("f", 2100, 3000, 1), ("f", 500, 715, 3), ("f", 900, 950, 1), ("g", 0, 10, 1)]
 
 
 def test_damage_is_raised(spark):
-    archive = warc.write_archive(frame(spark, [(1, "u", "some payload")]))
-    (f,) = glob.glob(archive.segments.removeprefix("file:") + "/*/*.txt")
-    data = open(f, "rb").read()
-    with pytest.raises(ValueError):
-        warc.parse_record(data.replace(b"some payload", b"SOME payload")[data.index(b"WARC/1.1", 9) :])
-    with pytest.raises(ValueError):
-        warc.parse_record(data[data.index(b"WARC/1.1", 9) : -1])
+    member = lambda raw: gzip.compress(raw)
+    raw = warc.page_record("r", 1, "u", b"some payload", warc.sha1_label(b"some payload"), None, warc.DATE)
+    assert warc.parse_record(member(raw))[-1] == b"some payload"
+    for bad in (member(raw.replace(b"some", b"SOME")), member(raw[:-1]), member(raw)[:-9], member(raw) + b"x", raw):
+        with pytest.raises(ValueError):
+            warc.parse_record(bad)
+
+
+def test_lost_attempts_leave_orphans_only(spark):
+    archive = warc.write_archive(frame(spark, PAGES))
+    kept = files_of(archive)[0]
+    with open(kept.replace(".warc.gz", "0.warc.gz"), "wb") as f:
+        f.write(b"half a file")
+    assert warc.broken(spark, archive).count() == 0 and warc.orphans(spark, archive).count() == 1
+    assert warc.read_records(spark, archive, payload=False).count() == len(PAGES)
 
 
 def test_empty_table(spark):
