@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, packing, pseudonyms, quality, secret_scan, suffix_dedup, warc
+from casebook.llm import collocations, decontaminate, exact_dedup, hard_negatives, jaccard_join, language_id, line_dedup, packing, pseudonyms, quality, secret_scan, suffix_dedup, warc
 from casebook.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 @query
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     row_id = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
@@ -174,6 +185,47 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, w.doc_id) AS comp
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON m.doc_id = w.doc_id
 """
 
+ORACLES["op11_collocations"] = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM w, (SELECT unnest(range(1, 5)) AS k)),
+f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY ALL),
+c AS (SELECT * FROM f WHERE len(g) >= 2 AND f >= 30),
+k AS (SELECT *, unnest(range(1, len(g))) AS k FROM c),
+s AS (
+  SELECT k.lang, k.g, k.f AS a, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * k.f // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.g = k.g[1:k.k] JOIN f r ON r.lang = k.lang AND r.g = k.g[k.k + 1:]
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.g ORDER BY score, k.k) = 1),
+i AS (SELECT lang, f, g, unnest(range(1, len(g))) AS i FROM c),
+j AS (SELECT lang, f, g, i, unnest(range(2, len(g))) AS m FROM i),
+x AS (SELECT lang, g[i:i + m - 1] AS g, max(f) AS f FROM j WHERE i + m - 1 <= len(g) GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, array_to_string(s.g, ' ')) AS rank, array_to_string(s.g, ' ') AS phrase,
+  a, l, r, n, score
+FROM s JOIN t ON t.lang = s.lang LEFT JOIN x ON x.lang = s.lang AND x.g = s.g
+WHERE x.f IS NULL OR CAST(100 AS HUGEINT) * x.f < CAST(80 AS HUGEINT) * a QUALIFY rank <= 2000
+"""
+
+ORACLES["op12_hard_negatives"] = """
+WITH e AS (
+  SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.u AS au, a.vec_id AS anchor_id, b.u AS bu, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.u <> b.u),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY au ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.au, p.bu ORDER BY s.score DESC, s.vec_id) AS INT) AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.au = p.au AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""
+
 ORACLES["op13_warc"] = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS x FROM pages),
 d AS (
