@@ -9,6 +9,6 @@ plans      The query catalogue run by the driver and its SQL oracles.
 streaming  Structured Streaming twins of the batch operators.
 """
 
-from casebook.config import Settings, DEFAULT_SETTINGS, FIXTURE_SETTINGS
+from casebook.config import Settings, FIXTURE_SETTINGS
 
-__all__ = ["Settings", "DEFAULT_SETTINGS", "FIXTURE_SETTINGS"]
+__all__ = ["Settings", "FIXTURE_SETTINGS"]

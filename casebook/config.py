@@ -41,33 +41,28 @@ SINGLE_PROMPT = "Please classify this support case:\n\n<Conversation>{text}</Con
 # Preview length for message text / titles in reports.
 PREVIEW_CHARS = 100
 TITLE_PREVIEW_CHARS = 50
-# Default custom field ids of the ticket system.
-CATEGORY_FIELD_ID = "1a6900f6-36d2-4380-ad06-790b0b05c4b3"
-SUB_CATEGORY_FIELD_ID = "05492140-551c-49ea-a8a2-4caeec8cda4d"
-MIGRATION_CATEGORY_FIELD_ID = "0598cba1-31d1-466e-bfd1-812548c73c51"
-RESOLUTION_FIELD_ID = "5ccb3d90-fbaf-4eea-ac88-ef3a82705ab2"
-CLUSTER_FIELD_ID = "59f823e5-921d-4a4d-81bb-052fb2c8593a"
 # Resolution tags the resolution classifier must answer with.
 RESOLUTION_TAGS = ["Referred with public resource", "Referred with internal knowledge",
                    "No public resource available", "Bug fix", "Feature Request", "No Action"]
 # --- end of fixed values --------------------------------------------------
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, kw_only=True)
 class Settings:
-    """Operator parameters. ``replace(settings, x=...)`` derives variants."""
+    """Operator parameters. ``replace(settings, x=...)`` derives variants. The ids of the ticket system's custom fields
+    have no default: they belong to one installation."""
 
+    category_field_id: str
+    sub_category_field_id: str
+    migration_field_id: str
+    resolution_field_id: str
+    cluster_field_id: str
     staff_domain: str = "example.dev"
     chat_host: str = "example.slack.com"
     excluded_senders: tuple[str, ...] = ()
     chat_source_type: str = "slack"
     link_base: str = "https://example.slack.com/app_redirect"
     ticket_emoji: str = "ticket"
-    category_field_id: str = CATEGORY_FIELD_ID
-    sub_category_field_id: str = SUB_CATEGORY_FIELD_ID
-    migration_field_id: str = MIGRATION_CATEGORY_FIELD_ID
-    resolution_field_id: str = RESOLUTION_FIELD_ID
-    cluster_field_id: str = CLUSTER_FIELD_ID
     thread_separator: str = SQL_THREAD_SEPARATOR
     embedded_separator: str = EMBEDDED_THREAD_SEPARATOR
     default_plan_category: str = DEFAULT_PLAN_CATEGORY
@@ -88,8 +83,6 @@ class Settings:
         return replace(self, **kw)
 
 
-DEFAULT_SETTINGS = Settings()
-
 # Settings matching the fixture documents derived from the driver tables
 # (FIXTURES.md section 3): staff domain, chat host, two excluded accounts,
 # short field ids, and a fixed as-of date so results are reproducible.

@@ -55,8 +55,10 @@ def backfill(ids: DataFrame, staging: DataFrame, live_docs: DataFrame, thread_do
     (``warehouse`` / ``live`` / ``model`` / ``none``), the values it gives,
     the migration label and the truthy-only payload map."""
     wh = warehouse_lookup(staging, ids, order).withColumn("wh_found", F.lit(True))
+    # Documents meet the requested ids before they are parsed.
+    asked = ids.select(F.col("conversation_id").alias("id")).distinct()
     live = fields.with_categories(
-        live_docs.select("id", F.from_json("data", schemas.TICKET_DOC).getField("ticketTypeFields").alias("f")),
+        live_docs.join(asked, "id", "left_semi").select("id", F.from_json("data", schemas.TICKET_DOC).getField("ticketTypeFields").alias("f")),
         cfg, "f").select(F.col("id").alias("conversation_id"), F.col("category").alias("live_cat"),
                          F.col("sub_category").alias("live_sub"),
                          fields.field("f", cfg.resolution_field_id).alias("live_res"))
@@ -65,7 +67,8 @@ def backfill(ids: DataFrame, staging: DataFrame, live_docs: DataFrame, thread_do
     checkpoint_dir(ids.sparkSession)
     base = ids.join(wh, "conversation_id", "left").join(live, "conversation_id", "left").checkpoint(eager=True)
     need_model = base.where(~C.usable("ticket_category") & ~C.usable("live_cat")).select("conversation_id").distinct()
-    content = embedded_thread(thread_docs, cfg.embedded_separator) \
+    unsolved = thread_docs.join(need_model.withColumnRenamed("conversation_id", "id"), "id", "left_semi")
+    content = embedded_thread(unsolved, cfg.embedded_separator) \
         .where(F.col("content") != "").withColumnRenamed("id", "conversation_id")
     cases = need_model.join(content, "conversation_id", "inner").select(
         "conversation_id", F.col("conversation_id").cast("string").alias("batch_id"),

@@ -25,6 +25,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from casebook import schemas
 from casebook.config import ERROR_LABEL, NONE_TEXT, PROMPT_FOOTER, PROMPT_HEADER, SINGLE_PROMPT
+from casebook.operators import ordering
 from casebook.session import checkpoint_dir
 
 Model = Callable[[str, str], str]  # (batch_id as text, prompt) -> reply text; may raise
@@ -44,9 +45,18 @@ def case_batches(df: DataFrame, key: str, text: str, size: int, mode: str = "ran
     ``ceil(n / size)`` hash buckets of about ``size`` keys each; inside a
     bucket keys are numbered in order and cut into batches of ``size``. The
     window is partitioned by bucket, so its groups stay small whatever the
-    table size, and no global ordering is needed."""
+    table size, and no global ordering is needed.
+
+    ``mode="dense"`` (any key): the cases in key order, cut into exactly
+    ``ceil(n / size)`` batches, all full but the last. Row numbers come from
+    ``ordering.numbered``; no window is used. The keys should be unique
+    (equal keys are ordered by their texts)."""
     from pyspark.sql import Window
 
+    if mode == "dense":
+        b = ordering.numbered(df.select(F.col(key), F.col(text).alias("text")), [F.col(key), F.col("text")])
+        return b.select(key, "text", F.floor(F.col("row_no") / size).alias("batch_id"),
+                        (F.col("row_no") % size + 1).cast("int").alias("pos"))
     if mode == "range":
         k = F.col(key).cast("long")
         b = df.select(F.col(key), F.col(text).alias("text"), F.floor(k / size).alias("batch_id"))
@@ -135,14 +145,6 @@ def _items(reply: str) -> Column:
     return F.when(valid, items)
 
 
-def reply_items(replies: DataFrame) -> DataFrame:
-    """``(batch_id, pos, item)`` for every item of a reply (see ``_items``).
-    Unparsable replies give no items (their cases become error rows in
-    ``align_replies``)."""
-    return replies.select("batch_id", F.posexplode(_items("reply")).alias("p", "item")) \
-        .select("batch_id", (F.col("p") + 1).alias("pos"), "item")
-
-
 def align_replies(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     """One result per case: ``(key, category, sub_category, reasoning, resolution, failed)``.
 
@@ -152,13 +154,12 @@ def align_replies(cases: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     an ``error`` key, whatever its value. The reasoning is the failure record as Python prints it
     (``{'error': 'msg'}``); other error objects keep their JSON text. Extra
     items are dropped; ``surplus_items`` counts them."""
-    items = reply_items(replies.where(F.col("reply").isNotNull()))
-    parsed = items.withColumn("obj", F.from_json("item", schemas.REPLY_ITEM)) \
-        .withColumn("keys", F.json_object_keys("item"))
-    r = replies.select("batch_id", "call_error",
-                       F.when(F.col("reply").isNotNull() & _items("reply").isNull(), F.lit(True)).alias("junk"))
+    # One row a batch meets the cases; a case takes its item by position. Each reply is parsed once.
+    r = replies.select("batch_id", "call_error", F.col("reply").isNotNull().alias("answered"), _items("reply").alias("items"))
     cases = cases.withColumn("batch_id", F.col("batch_id").cast("string"))
-    j = cases.join(r, "batch_id", "left").join(parsed, ["batch_id", "pos"], "left")
+    j = cases.join(r, "batch_id", "left").withColumn("item", F.get("items", F.col("pos") - 1))
+    j = j.withColumn("junk", F.col("answered") & F.col("items").isNull()).drop("items") \
+        .withColumn("obj", F.from_json("item", schemas.REPLY_ITEM)).withColumn("keys", F.json_object_keys("item"))
     has_error = F.array_contains("keys", "error")
     alone = F.size("keys") == 1
     reason = (F.when(F.col("call_error").isNotNull(), _error_text(F.col("call_error")))

@@ -12,6 +12,18 @@ def count_by(df: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def count_changes(changes: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
+    """Signed rows per key combination of a change feed: a row after counts one, a row before minus one."""
+    sign = F.when(F.col("_change") == "after", 1).otherwise(-1).cast("long")
+    return changes.groupBy(*keys).agg(F.sum(sign).alias(name)).where(F.col(name) != 0)
+
+
+def add_counts(counts: DataFrame, delta: DataFrame, keys: list[str], name: str = "n") -> DataFrame:
+    """A count report brought up to date by signed counts; groups that are empty now go. The table isn't read."""
+    both = counts.unionByName(delta)
+    return both.groupBy(*keys).agg(F.sum(name).alias(name)).where(F.col(name) != 0)
+
+
 def ordered_report(counts: DataFrame, lead: list[str], name: str = "n", tie: list[str] | None = None) -> DataFrame:
     """Report order: the ``lead`` group keys ascending, then the count
     descending, then ``tie`` keys for a total order (the output of a group

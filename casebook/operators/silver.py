@@ -8,7 +8,7 @@ instead of re-parsing text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,7 +42,11 @@ def ticket_fields(raw: DataFrame) -> DataFrame:
 
 def tickets_silver(raw: DataFrame, cfg: Settings) -> DataFrame:
     """Normalised ticket view (the 18 raw columns plus escalation-free derived ones)."""
-    t = ticket_fields(raw)
+    return ticket_view(ticket_fields(raw), cfg)
+
+
+def ticket_view(t: DataFrame, cfg: Settings) -> DataFrame:
+    """The view from parsed ticket fields, however they were parsed."""
     created, updated, closed = C.as_day("createdAt"), C.as_day("updatedAt"), C.as_day("closedAt")
     return t.select(
         "id",
@@ -100,7 +104,18 @@ def customers_silver(raw: DataFrame) -> DataFrame:
 def write_silver(df: DataFrame, path: str, buckets_by: str | None = None, n_files: int | None = None) -> None:
     """Persist a silver table as parquet, clustered by its key so joins and
     point filters on that key read few row groups."""
+    _clustered(df, buckets_by, n_files).write.mode("overwrite").parquet(path)
+
+
+def _clustered(df: DataFrame, buckets_by: str | None, n_files: int | None) -> DataFrame:
     w = df.repartition(n_files, buckets_by) if (buckets_by and n_files) else df
-    if buckets_by:
-        w = w.sortWithinPartitions(buckets_by)
-    w.write.mode("overwrite").parquet(path)
+    return w.sortWithinPartitions(buckets_by) if buckets_by else w
+
+
+def write_silver_counted(df: DataFrame, path: str, counts: dict[str, Column], buckets_by: str | None = None,
+                         n_files: int | None = None) -> dict[str, int]:
+    """``write_silver``, and aggregates over the written rows from the same pass (no second action)."""
+    seen = Observation()
+    aggs = [c.alias(n) for n, c in counts.items()]
+    _clustered(df, buckets_by, n_files).observe(seen, *aggs).write.mode("overwrite").parquet(path)
+    return seen.get

@@ -8,7 +8,7 @@ reactions; only tickets without the emoji reach the (external) writer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
@@ -34,10 +34,13 @@ def open_chat_tickets(raw: DataFrame, cfg: Settings) -> DataFrame:
         F.col("channelId").alias("chat_channel_id"), F.col("ts").alias("chat_timestamp"))
 
 
+def newest_order() -> list[Column]:
+    return [F.col("created_at").desc_nulls_last(), F.col("conversation_id").asc()]
+
+
 def newest_first(tickets: DataFrame, page_no: int = 0, page_size: int = 50) -> DataFrame:
-    """One page of open tickets, newest first (id breaks ties)."""
-    return tickets.orderBy(F.col("created_at").desc_nulls_last(), F.col("conversation_id").asc()) \
-        .offset(page_no * page_size).limit(page_size)
+    """One page of open tickets, newest first (id breaks ties). To walk many pages, store them once (``paging``)."""
+    return tickets.orderBy(*newest_order()).offset(page_no * page_size).limit(page_size)
 
 
 ALREADY_REACTED = "already_reacted"  # the writer's error when somebody else was faster: nothing to do

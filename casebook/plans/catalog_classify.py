@@ -11,6 +11,7 @@ from casebook.plans.catalog_merge import RUN_TS, _dated
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import LABEL_A, with_
 from casebook.plans.registry import query
+from casebook.session import checkpoint_dir
 from casebook.sources import fixtures as fx
 
 BATCH = 5
@@ -49,7 +50,9 @@ _CLS_CTES = [("e", _E), ("ex", _EX), ("cases", _CASES)]
 def _cases(spark, sf_dir):
     f = Fixture(spark, sf_dir)
     ex = threads.ticket_extract(f.tickets_raw(), f.messages_raw(), f.classes(), CFG)
-    return classify.case_batches(ex, "id", "allMessages", BATCH)
+    checkpoint_dir(spark)
+    # The extract behind the cases is the dear part; prompts and alignment both read the cases.
+    return classify.case_batches(ex, "id", "allMessages", BATCH).checkpoint()
 
 
 def _aligned(spark, sf_dir):

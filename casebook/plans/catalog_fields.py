@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from casebook.functions import columns as C
@@ -11,6 +13,7 @@ from casebook.plans import doubles
 from casebook.plans.common import CFG, Fixture
 from casebook.plans.fixture_sql import LABEL_A, LABEL_B, with_
 from casebook.plans.registry import query
+from casebook.session import scratch_path
 from casebook.sources import fixtures as fx
 
 
@@ -118,9 +121,11 @@ def q_modified_range(spark, sf_dir):
 
 @query("append_pages", with_("t") + "SELECT id, sourceType, raw_status AS status FROM t")
 def q_append_pages(spark, sf_dir):
+    """Four stored pages with differing column orders, each read once."""
     t = _tickets(spark, sf_dir).select("id", "sourceType", "status")
-    k = F.col("id").cast("long")
-    pages = [t.where(k % 4 == i).select(*(["status", "id", "sourceType"] if i % 2 else ["id", "sourceType", "status"]))
+    out = scratch_path(spark, f"casebook-runs/pages-{uuid.uuid4().hex}")
+    t.withColumn("page", F.pmod(F.col("id").cast("long"), F.lit(4))).write.partitionBy("page").parquet(out)
+    pages = [spark.read.schema(t.schema).parquet(f"{out}/page={i}").select(*(["status", "id", "sourceType"] if i % 2 else t.columns))
              for i in range(4)]
     return fields.append_pages(pages)
 

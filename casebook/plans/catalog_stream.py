@@ -41,7 +41,7 @@ def q_stream_upsert(spark, sf_dir):
     _stage(ev.withColumn("_s", F.col("event_id")), f"{run}/in", 3, "_s")
     snap = BucketedSnapshot(f"{run}/snapshot", "user_id", ev.schema, buckets=16)
     src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 8).parquet(f"{run}/in")
-    jobs.start_upsert_stream(src, snap, "event_id", f"{run}/checkpoint").awaitTermination()
+    jobs.start_upsert_stream(src, snap, "event_id", f"{run}/checkpoint", by_order=True).awaitTermination()
     return snap.read(spark)
 
 

@@ -14,16 +14,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from casebook.operators import backfill, merge, writeback
+from casebook.streaming.mergeonread import MergeOnReadTable
 from casebook.streaming.snapshot import BucketedSnapshot
 
 
-def start_upsert_stream(stream: DataFrame, table: BucketedSnapshot, order: str, checkpoint: str,
-                        available_now: bool = True) -> StreamingQuery:
-    """Latest-wins upsert of every micro-batch into ``table`` (idempotent on replay)."""
+def start_upsert_stream(stream: DataFrame, table: BucketedSnapshot | MergeOnReadTable, order: str, checkpoint: str,
+                        available_now: bool = True, by_order: bool = False) -> StreamingQuery:
+    """Upsert every micro-batch into ``table`` (idempotent on replay).
+
+    Last write wins, as in ``jobs.ingest``: a key of the batch replaces its stored row whatever either holds, and
+    ``order`` decides within the batch only (NULL before every value). ``by_order`` compares with the stored row too:
+    the greatest ``order`` wins in whatever order rows arrive."""
     key = table.key
 
     def upsert(current: DataFrame, batch: DataFrame) -> DataFrame:
-        return merge.upsert_latest(current, batch, key, order)
+        if by_order:
+            return merge.upsert_latest(current, batch, key, order)
+        return merge.replace_rows(current, merge.latest_by_arrival(batch, key, [order]), key)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         table.merge(batch.select(*[f.name for f in table.schema.fields]), upsert)
