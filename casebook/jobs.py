@@ -17,14 +17,18 @@ from casebook.config import Settings
 from casebook.operators import backfill, classify, fields, merge, silver, tagging, writeback
 from casebook.session import checkpoint_dir
 from casebook.sources import paged
+from casebook.streaming.mergeonread import MergeOnReadTable
 from casebook.streaming.snapshot import BucketedSnapshot
 
 
 def ingest(spark: SparkSession, entity: str, fetcher: str, table_path: str, modified_after: str | None = None,
            modified_before: str | None = None, conversation_id: str | None = None, num_partitions: int = 8,
-           buckets: int = 256, **options: str) -> None:
+           buckets: int = 256, merge_on_read: bool = False, **options: str) -> None:
     """Download one entity from the paged feed and upsert it: the later run wins, within a run the
-    latest ``updatedAt``. The feed is read once (the merge checkpoints it)."""
+    latest ``updatedAt``. The feed is read once (the merge checkpoints it).
+
+    With ``merge_on_read`` the table is a ``MergeOnReadTable``: a run writes what it changed, other writers
+    may commit meanwhile, and ``compact`` has to be run now and then."""
     paged.register(spark)
     r = spark.read.format("paged_feed").option("entity", entity).option("fetcher", fetcher) \
         .option("numPartitions", str(num_partitions)).options(**options)
@@ -35,7 +39,7 @@ def ingest(spark: SparkSession, entity: str, fetcher: str, table_path: str, modi
     feed = r.load().where("id IS NOT NULL")
     if conversation_id:
         feed = feed.where(F.col("id") == conversation_id)
-    snap = BucketedSnapshot(table_path, "id", feed.schema, buckets)
+    snap = (MergeOnReadTable if merge_on_read else BucketedSnapshot)(table_path, "id", feed.schema, buckets)
     snap.merge(feed, lambda cur, new: merge.replace_rows(cur, merge.latest_by_arrival(new, "id", ["updatedAt"]), "id"))
 
 
@@ -96,7 +100,7 @@ def ingest_all(spark: SparkSession, fetcher: str, root: str, modified_after: str
                num_partitions=num_partitions)
 
 
-def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeback.Send, cfg: Settings,
+def write_back_job(classes: BucketedSnapshot | MergeOnReadTable, clusters: DataFrame, send: writeback.Send, cfg: Settings,
                    run_ts: _dt.datetime, limit: int | None = None, include_stale: bool = False,
                    partitions: int | None = None, outcome_log: str | None = None,
                    run_id: str | None = None) -> DataFrame:
@@ -122,7 +126,7 @@ def write_back_job(classes: BucketedSnapshot, clusters: DataFrame, send: writeba
     return outcomes
 
 
-def classify_job(extract: DataFrame, classes: BucketedSnapshot, model: classify.Model, run_ts: _dt.datetime,
+def classify_job(extract: DataFrame, classes: BucketedSnapshot | MergeOnReadTable, model: classify.Model, run_ts: _dt.datetime,
                  batch_size: int = 10, max_conversations: int | None = None) -> DataFrame:
     """Batch-classify the extract's conversations and merge the results (null-preserving).
     The returned results are checkpointed, so they stay valid after the merge."""

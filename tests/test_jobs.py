@@ -17,7 +17,8 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 
 
 def _feed_table(spark, path):
-    from casebook.streaming.snapshot import BucketedSnapshot
+    from casebook.streaming.mergeonread import MergeOnReadTable
+from casebook.streaming.snapshot import BucketedSnapshot
 
     schema = spark.range(0).selectExpr("'' id", "'' updatedAt", "'' data").schema
     return BucketedSnapshot(path, "id", schema).read(spark, with_bucket=True)
@@ -33,6 +34,16 @@ def test_ingest_is_idempotent(spark):
     assert df.select("bucket").distinct().count() > 1
 
 
+def test_ingest_into_a_merge_on_read_table(spark):
+    spark.sparkContext.addPyFile(os.path.join(HERE, "fake_feed.py"))
+    path = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
+    for _ in range(2):
+        jobs.ingest(spark, "conversations", "fake_feed:fetch", path, num_partitions=2, merge_on_read=True)
+    schema = spark.createDataFrame([], "id string, updatedAt string, data string").schema
+    table = MergeOnReadTable(path, "id", schema)
+    assert table.state(spark).seq == 2 and table.read(spark).count() == 57 == table.read(spark).select("id").distinct().count()
+
+
 def test_detail_fetch_keeps_failures(spark):
     spark.sparkContext.addPyFile(os.path.join(HERE, "fake_feed.py"))
     ids = spark.createDataFrame([("t001",), ("t002",)], "id string")
