@@ -15,6 +15,7 @@ score is 0.5; an empty table gives no rows; other columns are carried along only
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -135,17 +136,24 @@ def learn(
                 [t.column(0).combine_chunks(), t.column(1).combine_chunks(), pa.array([r.astype(np.float16).tobytes() for r in x], pa.binary())], names=["doc_id", "y", "x"]
             )
 
+    def fitted(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("doc_id")
+        x = np.array([np.frombuffer(r, np.float16) for r in rows["x"].to_pylist()], np.float32).reshape(len(rows), WIDE)
+        model = fit(x, rows["y"].to_numpy().astype(np.int64), shares, width, neighbours, sharpness)
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(picked), "doc_id")  # at most 2 * per_label rows
         .groupBy("doc_id", "y")
         .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # one text of an id that repeats
         .mapInArrow(run, "doc_id long, y int, x binary")
-        .collect()  # at most 2 * per_label rows of fixed width
     )
-    rows.sort(key=lambda r: r["doc_id"])
-    x = np.array([np.frombuffer(r["x"], np.float16) for r in rows], np.float32).reshape(len(rows), WIDE)
-    return fit(x, np.array([r["y"] for r in rows], np.int64), shares, width, neighbours, sharpness)
+    # at most 2 * per_label rows of fixed width: one task fits them, so the driver's memory holds the small model only
+    found = rows.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(fitted, "model binary").first()
+    if found is None:
+        return fit(np.zeros((0, WIDE), np.float32), np.zeros(0, np.int64), shares, width, neighbours, sharpness)
+    return pickle.loads(found["model"])
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:
