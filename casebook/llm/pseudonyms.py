@@ -27,7 +27,9 @@ from casebook.llm.frames import text_column
 ROUNDS = 8
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 KINDS = {  # in the order in which they are tried at a place
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # A run of local characters is tried once, from its start or from the end of the match before; a domain has at most
+    # 127 labels (DNS allows no more), which bounds the depth of the matcher's recursion.
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,125}\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9/.-])(?:(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3][0-9]([/.])[01][0-9]\1(?:19|20)[0-9]{2})(?![0-9]|[/.-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
@@ -73,12 +75,14 @@ class _Sql:
 
         def shifted(part: str, other: str) -> str:
             def turn(low: int, size: int) -> str:
-                return f"chr({low} + pmod(ascii(c) - {low} {self.sign} {self.noise('email', 'i', 'j', other)} % {size}, {size}))"
+                return f"chr({low} + pmod(ascii(c) - {low} {self.sign} {self.noise('email', 'i', 'j', 'o')} % {size}, {size}))"
 
-            return (
+            # the other half is digested once, not anew for each letter
+            letters = (
                 f"array_join(transform(split({part}, ''), (c, j) -> case when c between 'a' and 'z' then {turn(97, 26)} "
                 f"when c between 'A' and 'Z' then {turn(65, 26)} when c between '0' and '9' then {turn(48, 10)} else c end), '')"
             )
+            return f"transform(array(sha2({other}, 256)), o -> {letters})[0]"
 
         return (
             f"concat(aggregate({self.rounds}, named_struct('l', substr({local}, 1, {h}), 'r', substr({local}, {h} + 1)), "
