@@ -4,13 +4,15 @@ The test items are indexed: for each word its postings (item, BM25 impact) in bl
 greatest impact of each block. Every passage of every training document (overlapping windows of words, long enough
 that any item lies whole in one) is a query over its distinct words and retrieves all items whose score reaches the
 item's threshold. An item is split into question and answer (its last sentence); a retrieved item is a leak if the
-passage holds at least ``overlap`` of the question's and of the answer's five-word shingles.
+passage overlaps both by ``overlap`` at least. A part's overlap is the share of its five-word shingles that the passage
+holds. One changed word costs up to five shingles, so a part of fewer than ``FEW`` shingles may also match by its words
+in order: one less the edits (changed, missing and inserted words) to the nearest run of the passage, for each word.
 
-The thresholds lose nothing: a passage with that overlap lacks at most as many words of the item as shingles, so the
-item's own score less that many of its greatest impacts is a lower bound of its score.
+The thresholds lose nothing: a passage with that overlap lacks at most as many words of a part as it may lack shingles
+or have edits, so the item's own score less that many of its greatest impacts is a lower bound of its score.
 
-The index is broadcast. Items are taken in shards of at most ``shard_items``, so its size is bounded whatever the
-size of the benchmark; every shard is searched with all passages.
+The index is broadcast. Items are taken in shards of at most ``shard_items``, one after another: each shard's index is
+built, searched with all passages, and released, so what is held is bounded whatever the size of the benchmark.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters; A-Z count as a-z. Edge cases: null or empty
 texts, and items without words, match nothing; items and documents that repeat are matched each by itself, with
@@ -35,6 +37,7 @@ from casebook.llm.frames import stored
 K1, B = 1.2, 0.75
 BLOCK = 16
 SHINGLE = 5
+FEW = 25  # shingles: from here on, five of them may be missing
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
@@ -60,12 +63,45 @@ def words_in(text: str) -> np.ndarray:
     return word_hashes(*ta.texts_of(pa.array([text])))[0]
 
 
+class Part:
+    """Words and shingles of a question or an answer."""
+
+    def __init__(self, text: str):
+        self.words = words_in(text)
+        self.shingles = shingles(self.words)
+
+    def most_lost(self, overlap: float) -> int:
+        """Words that a passage with this overlap can lack."""
+        few = len(self.words) if len(self.shingles) < FEW else 0
+        return int((1 - overlap) * max(len(self.shingles), few) + 1e-9)
+
+    def overlap(self, passage: np.ndarray, have: np.ndarray, enough: float) -> float:
+        if not len(self.words):
+            return 1.0
+        share = float(np.isin(self.shingles, have).mean())
+        if share < enough and len(self.shingles) < FEW:
+            share = max(share, 1 - edits(self.words, passage) / len(self.words))
+        return share
+
+
+def edits(words: np.ndarray, passage: np.ndarray) -> int:
+    """The least number of changed, missing and inserted words between ``words`` and a run of ``passage``."""
+    place = np.arange(len(passage) + 1)
+    cost = np.zeros(len(passage) + 1, np.int64)
+    for k, w in enumerate(words):
+        step = np.empty_like(cost)
+        step[0] = k + 1
+        step[1:] = np.minimum(cost[:-1] + (passage != w), cost[1:] + 1)
+        cost = np.minimum.accumulate(step - place) + place
+    return int(cost.min())
+
+
 @dataclass
 class Index:
     """Postings of ``items`` by word, and what verification needs. Term ``t`` has postings ``post[t] .. post[t + 1]``
     and blocks ``blocks[t] .. blocks[t + 1]``."""
 
-    items: list[tuple[int | None, np.ndarray, np.ndarray]]  # id, question and answer shingles
+    items: list[tuple[int | None, "Part", "Part"]]  # id, question and answer
     terms: np.ndarray  # sorted word hashes
     post: np.ndarray
     post_item: np.ndarray
@@ -111,7 +147,7 @@ def build(rows: list[tuple[int | None, str]], overlap: float) -> Index | None:
         w = words_in(text or "")
         if len(w):
             question, answer = (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (" ".join(parts), "")
-            items.append((item_id, shingles(words_in(question)), shingles(words_in(answer))))
+            items.append((item_id, Part(question), Part(answer)))
             words.append(w)
     if not items:
         return None
@@ -127,7 +163,7 @@ def build(rows: list[tuple[int | None, str]], overlap: float) -> Index | None:
         rows_t.append(at)
         rows_k.append(np.full(len(at), k))
         rows_x.append(impact)
-        lost = sum(int((1 - overlap) * len(s) + 1e-9) for s in items[k][1:])
+        lost = sum(part.most_lost(overlap) for part in items[k][1:])
         floor[k] = np.sort(impact)[: len(impact) - lost].sum() * (1 - 1e-9) if lost < len(impact) else 0.0
     t, k, x = map(np.concatenate, (rows_t, rows_k, rows_x))
     order = np.lexsort((k, t))
@@ -142,7 +178,7 @@ def build(rows: list[tuple[int | None, str]], overlap: float) -> Index | None:
 def search_batch(index: Index, ids: list, buf: np.ndarray, off: np.ndarray, overlap: float) -> Iterator[tuple]:
     """Leaks of a batch of texts, as rows of ``SCHEMA``."""
     h, begin = word_hashes(buf, off)
-    stride = max(32, index.longest)
+    stride = max(32, int(np.ceil(index.longest / overlap)))  # a run with inserted words is longer than its item
     at = np.minimum(np.searchsorted(index.terms, h), len(index.terms) - 1)
     known = np.flatnonzero(index.terms[at] == h)
     if not len(known):
@@ -170,12 +206,12 @@ def search_batch(index: Index, ids: list, buf: np.ndarray, off: np.ndarray, over
         w = int(window[starts[i]])
         d = int(text[w])
         a = begin[d] + (w - first[d]) * stride
-        have = shingles_of_window(h[a : min(a + 2 * stride, begin[d + 1])])
+        passage = h[a : min(a + 2 * stride, begin[d + 1])]
+        have = shingles_of_window(passage)
         for item, score in found:
-            item_id, q, ans = index.items[item]
-            q_part = float(np.isin(q, have).mean()) if len(q) else 1.0
-            a_part = float(np.isin(ans, have).mean()) if len(ans) else 1.0
-            if q_part >= overlap and a_part >= overlap:
+            item_id, question, answer = index.items[item]
+            q_part = question.overlap(passage, have, overlap)
+            if q_part >= overlap and (a_part := answer.overlap(passage, have, overlap)) >= overlap:
                 yield ids[d], item_id, score, q_part, a_part
 
 
@@ -213,7 +249,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, overlap: float = 0.8, shard_
                         cols, types = zip(*rows, strict=True), [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
-        more = texts.mapInArrow(run, SCHEMA)
+        more = stored(texts.mapInArrow(run, SCHEMA), "leaks-of-shard")
+        held.destroy()
         found = more if found is None else found.unionByName(more)
     if found is None:
         found = texts.where("false").select("doc_id", F.lit(0).cast("long").alias("item_id"), *[F.lit(0.0).alias(c) for c in ("score", "question_overlap", "answer_overlap")])
