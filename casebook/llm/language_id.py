@@ -18,11 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.llm import textarray as ta
@@ -136,7 +135,7 @@ def train(
     m, v = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
     by = [np.flatnonzero(y == k) for k in range(L)]
     for r in range(1, rounds + 1 if L > 1 else 1):
-        at = np.concatenate([rng.choice(b, max(1, batch // L)) for b in by])
+        at = np.concatenate([rng.choice(b, max(1, batch // L)) for b in by if len(b)])  # a language may have no text to learn from
         xb, n = x[at].T, size[at]
         steps = int(n.max())
         xb, here = xb[:steps], (np.arange(steps)[:, None] < n)
@@ -187,19 +186,19 @@ def train(
     return Network(languages, [p[0], p[1]], [p[2], p[3]], p[4])
 
 
-def learn(docs: DataFrame, *, per_language: int = 1500, most_languages: int = 256, **settings) -> Network:
+def learn(docs: DataFrame, *, per_language: int = 1500, **settings) -> Network:
     """Train on at most ``per_language`` windows of each language, from documents outside the held-out fold.
 
     Each drawn document gives one window, at a place drawn by the hash of its id.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & (fold(5) != 0))
-    languages = sorted(r["lang"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(most_languages + 1).collect())
-    if len(languages) > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
+    languages = sorted(r["lang"] for r in ids.select("lang").distinct().collect())  # the network's outputs
     if not languages:
         return train(np.empty((0, WINDOW), np.uint8), np.empty(0, np.int64), np.empty(0, np.int64), [], **settings)
-    tops = [ids.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language) for lang in languages]
-    drawn = reduce(DataFrame.unionByName, tops).distinct()  # ids only: the texts are read once, below
+    # One pass for all languages: every task keeps its first ids of each before the shuffle.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    drawn = ids.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
+    drawn = drawn.select("doc_id", "lang").distinct()  # ids only: the texts are read once, below
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.length("text") - WINDOW // 2, F.lit(1))).cast("int") + 1
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = (

@@ -46,6 +46,15 @@ KIND[65:91] = KIND[97:123] = 1
 KIND[[ord(c) for c in "'<|>"]] = 0
 SEPARATORS = "жשあ한ღ"  # letters tried as separators between unknown words; a batch uses one that none of its words has
 
+PROBES = [  # texts on which splits at blanks, case and signs would show
+    "The QUICK brown Fox's fox doesn't, isn't; can't",
+    "a-b c_d e.f 3.14 1,000 x=y (z) [q] {r} <s> #t @u",
+    "  two  blanks\tand\nlines\r\n end ",
+    "Éric ÉTÉ straße ÜBER naïve İ 日本語 \U0001f600 é́ \u00a0x",
+    "abc123 123abc ABC...!?? 'quoted' \"double\" it's",
+    "",
+]
+
 _coders: dict[str, "Coder"] = {}
 
 
@@ -60,11 +69,27 @@ class Coder:
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.clear()
+        self.by_word = True
+        self.by_word = self._agrees()
+
+    def _agrees(self) -> bool:
+        """Whether encoding word by word gives this vocabulary's ids of whole texts. Else texts are encoded whole."""
+        raw = [x.encode() for x in PROBES]
+        ids, off = self.batch(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0)
+        same = all(ids[a : b - 1].tolist() == x for a, b, x in zip(off[:-1], off[1:], self._plain(PROBES), strict=True))
+        self.clear()
+        return same
+
+    def whole(self, buf: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        raw = buf.tobytes()
+        each = self._plain([raw[a:b].decode("utf-8", "replace") for a, b in zip(off[:-1], off[1:], strict=True)])
+        ids = [np.array([*x, end_id], np.uint32) for x in each]
+        return np.concatenate([np.empty(0, np.uint32), *ids]), np.cumsum([0, *map(len, ids)])
 
     def clear(self) -> None:
         self.keys = np.empty(0, np.uint64)  # sorted word hashes
         self.begin, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids, self.used = np.empty(1 << 16, np.uint16), 0
+        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
 
     def _plain(self, words: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -90,8 +115,6 @@ class Coder:
 
     def learn(self, keys: np.ndarray, words: list[str]) -> None:
         flat, count = self.encode(words)
-        if len(flat) and flat.max() > 65535:
-            raise ValueError("the vocabulary has ids over 65535")
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
@@ -104,6 +127,8 @@ class Coder:
 
     def batch(self, buf: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, token offsets) of all texts of a batch, each followed by ``end_id``."""
+        if not self.by_word:
+            return self.whole(buf, off, end_id)
         if b"<|" in (raw := buf.tobytes()):  # may spell a special token: leave case and signs alone
             start, end, doc = ta.words_of(buf, off, BLANK)
         else:
@@ -123,7 +148,7 @@ class Coder:
         count = self.count[at] if len(at) else np.empty(0, np.int64)
         n = np.bincount(doc, weights=count, minlength=len(off) - 1).astype(np.int64) if len(doc) else np.zeros(len(off) - 1, np.int64)
         ends = np.cumsum(n + 1)
-        out = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.uint16)
+        out = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.uint32)
         place = np.ones(len(out), bool)
         place[ends - 1] = False
         out[place] = self.ids[ta.ragged(self.begin[at], count)] if len(at) else 0
