@@ -1,8 +1,10 @@
 """Language, quality, decontamination, packing, pseudonyms and secrets."""
 
+import calendar
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -40,8 +42,8 @@ def test_words_and_hashes():
     assert len(set(ta.hash_words(buf, off[:-1], off[1:]).tolist())) == len(words)
 
 
-def test_gradient():
-    """Backpropagation through time against finite differences, by one small training step's effect on the loss."""
+def test_training():
+    """Backpropagation through time learns two alphabets."""
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.integers(97, 103, (40, 32)), rng.integers(101, 108, (40, 32))]).astype(np.uint8)
     y = np.repeat([0, 1], 40)
@@ -87,30 +89,79 @@ def test_quality(spark, documents):
     quality.learn(documents, odd_labels)
 
 
-def test_leaks(spark):
-    rng = random.Random(8)
-    items = [(k, ". ".join(text(rng, 14).replace("\n", " ") for _ in range(3)) + ".") for k in range(40)] + [(90, None), (91, ""), (92, items_one := "solitary words of an item")]
-    docs = [(i, t) for i, t in corpus(6)]
-    docs += [(300 + k, text(rng, 90) + " " + items[k][1].upper() + " " + text(rng, 300)) for k in range(20)]
-    docs += [(400, text(rng, 30) + " " + items_one + "!"), (401, " ".join(items[30][1].split()[:20]))]
-    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+def nearest(words, doc):
+    """Least edits between words and any run of doc, by the plain recurrence."""
+    row = [0] * (len(doc) + 1)
+    for k, w in enumerate(words):
+        new = [k + 1]
+        for j, d in enumerate(doc):
+            new.append(min(row[j] + (w != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def leaked_pairs(docs, items):
+    """(doc_id, item_id) whose question and answer stand in the document to 80 %, by shingles or, if few, by words in order."""
 
     def sh(t):
         w = re.findall(r"[^\W_]+", (t or "").lower())
         return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
-    def full(i, t):  # any sub-length of words, as parts may be shorter than a shingle
+    def full(t):  # any sub-length of words, as parts may be shorter than a shingle
         w = re.findall(r"[^\W_]+", (t or "").lower())
         return {tuple(w[a : a + n]) for n in range(1, 6) for a in range(len(w) - n + 1)}
 
+    def overlaps(t, have, doc):
+        w = re.findall(r"[^\W_]+", t.lower())
+        return len(sh(t) & have) >= 0.8 * len(sh(t)) or len(sh(t)) < 25 and nearest(w, doc) <= 0.2 * len(w) + 1e-9
+
     want = set()
     for i, t in docs:
-        have = full(i, t)
+        have, doc = full(t), re.findall(r"[^\W_]+", (t or "").lower())
         for k, item in items:
             parts = [p for p in decontaminate.SENTENCE.split(item or "") if sh(p)]
             q, a = (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (" ".join(parts), "")
-            if parts and all(len(s & have) >= 0.8 * len(s) for s in (sh(q), sh(a))):
+            if parts and overlaps(q, have, doc) and overlaps(a, have, doc):
                 want.add((i, k))
+    return want
+
+
+def test_edits():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        words, doc = rng.integers(0, 4, rng.integers(1, 9)), rng.integers(0, 4, rng.integers(0, 15))
+        assert decontaminate.edits(words.astype(np.uint64), doc.astype(np.uint64)) == nearest(words.tolist(), doc.tolist())
+
+
+def test_leaks_with_a_changed_word(spark):
+    """One word changed, dropped or put in, in the question and in the answer, however short they are."""
+    rng = random.Random(12)
+    items = [(k, ". ".join(text(rng, n).replace("\n", " ") for n in (12, 13, 6)) + ".") for k in range(30)]
+    docs = []
+    for k, t in items:
+        parts = [p for p in decontaminate.SENTENCE.split(t)]
+        for at in (0, len(parts) - 1):
+            for way in range(3):
+                w = parts[at].split(" ")
+                j = len(w) // 2
+                w[j : j + 1] = ["otherword"] if way == 0 else [] if way == 1 else [w[j], "newword"]
+                now = [*parts[:at], " ".join(w), *parts[at + 1 :]]
+                docs.append((k * 10 + at // max(1, len(parts) - 1) * 3 + way, text(rng, 60) + " " + " ".join(now) + " " + text(rng, 60)))
+    docs += [(1000 + k, text(rng, 200)) for k in range(30)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(i, i // 10) for i, _ in docs if i < 1000} <= got
+    assert got == leaked_pairs(docs, items) and all(i < 1000 for i, _ in got)
+
+
+def test_leaks(spark):
+    rng = random.Random(8)
+    items = [(k, ". ".join(text(rng, 14).replace("\n", " ") for _ in range(3)) + ".") for k in range(40)] + [(90, None), (91, ""), (92, items_one := "solitary words of an item")]
+    docs = [(i, t) for i, t in corpus(6)]
+    docs += [(300 + k, text(rng, 90) + " " + items[k][1].upper() + " " + text(rng, 300)) for k in range(20)]
+    docs += [(400, text(rng, 30) + " " + items_one + "!"), (401, " ".join(items[30][1].split()[:20]))]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+    want = leaked_pairs(docs, items)
     assert got == want and len(got) >= 21
     clean = decontaminate.clean(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
     assert Counter(r.doc_id for r in clean.collect()) == Counter(i for i, _ in docs if i not in {d for d, _ in want})
@@ -130,6 +181,15 @@ def test_leaks_in_shards(spark):
     assert got == {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, docs), bench).collect()}
 
 
+def test_three_hundred_languages(spark):
+    rng = random.Random(9)
+    rows = [(k, f"{rng.choice('abc')}word {k % 300} text", f"l{k % 300:03d}") for k in range(3000)]
+    net = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=3, rounds=2)
+    assert len(net.languages) == 300
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), net).collect()
+    assert len(got) == 3000 and {r.lang_pred for r in got} <= {x[2] for x in rows} and all(0 <= r.score <= 1 for r in got)
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
@@ -165,6 +225,29 @@ def test_packing(spark):
     assert packing.pack(frame(spark, []), tokenizer_path()).count() == 0
 
 
+def test_packing_with_a_cased_vocabulary(spark):
+    """Splits and lower-casing hold for one file; with another one, whole texts are encoded."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    assert packing.Coder(tokenizer_path()).by_word and not packing.Coder(path("byte_bpe_50k.json")).by_word
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    rows = [(k, x) for k, (_, x) in enumerate(corpus(8))] + [(900, "The QUICK  brown\tFox's"), (901, "\U0001f600 é İ")]
+    want = {k: np.array(t.encode(x or "", add_special_tokens=False).ids + [2], "<u4") for k, x in rows}
+    got = packing.pack(frame(spark, rows), path("byte_bpe_50k.json")).collect()
+    assert sum(r.length for r in got) == sum(map(len, want.values()))
+    for r in got:
+        assert r.doc_tokens == len(want[r.doc_id]) and r.ids_crc32 == zlib.crc32(want[r.doc_id][r.start : r.start + r.length].tobytes())
+
+
+def test_ids_over_16_bits():
+    coder = packing.Coder(tokenizer_path())
+    plain = coder._plain
+    coder._plain = lambda words: [[i + 70_000 for i in x] for x in plain(words)]
+    ids, off = coder.batch(np.frombuffer(b"one two", np.uint8), np.array([0, 7]), 2)
+    assert (ids[:-1] - 70_000).tolist() == plain(["one two"])[0] and ids[-1] == 2 and off.tolist() == [0, len(ids)]
+
+
 def test_step_groups_are_even():
     sizes = [random.Random(k).choice([512, 1024, 4096, 4096]) for k in range(200)]
     held = Counter()
@@ -216,6 +299,56 @@ def test_pseudonyms_are_one_to_one(spark):
     assert all(r.n_ssn + r.n_date == 1 for r in again), "a pseudonym is valid in its kind"
 
 
+OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+FORMS = [  # plain forms, in the order in which they are tried at a place
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    rf"(?<![0-9.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?![0-9]|\.[0-9])",
+    r"(?<![0-9/.-])(?:(?:19|20)\d\d-[01]\d-[0-3]\d|[0-3]\d/[01]\d/(?:19|20)\d\d|[0-3]\d\.[01]\d\.(?:19|20)\d\d)(?![0-9]|[/.-][0-9])",
+    r"(?<![0-9-])\d{3}-\d\d-\d{4}(?![0-9]|-[0-9])",
+    r"(?<![0-9+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}(?![0-9])",
+    r"(?<![0-9+])\d(?:[ -]?\d){12,18}(?![0-9])",
+]
+
+
+def brute_private(t):
+    """kind:start:end of each valid value, by plain search and arithmetic."""
+    out = []
+    for m in re.finditer("|".join(f"({f})" for f in FORMS), t, re.ASCII):
+        kind, x = ("email", "ip", "date", "ssn", "phone", "card")[m.lastindex - 1], m[0]
+        if kind == "date":
+            y, mo, d = (int(v) for v in (x.split("-") if "-" in x else reversed(re.split("[/.]", x))))
+            ok = 1 <= mo <= 12 and 1 <= d <= calendar.monthrange(y, mo)[1]
+        elif kind == "ssn":
+            a, g, n = x.split("-")
+            ok = a not in ("000", "666") and a[0] != "9" and g != "00" and n != "0000"
+        else:
+            ok = kind != "card" or luhn(re.sub("[ -]", "", x))
+        if ok:
+            out.append(f"{kind}:{m.start()}:{m.end()}")
+    return ",".join(out)
+
+
+def test_pseudonym_places_match_plain_search(spark):
+    rng = random.Random(11)
+    parts = ["4785380592391139", "4785-3805-9239-1139", "4785380592391138", "jo.doe@a-b.example.com", "x1@c.org", "a@b", "a@b..com", "a@x.co1", "_%+-@m.de", "é@ü.de",
+             "152.143.123.131", "999.1.1.1", "1.2.3.4.5", "2021-02-28", "2021-02-30", "28/02/2021", "28.02.2021", "123-45-6789", "666-45-6789", "000-12-3456",
+             "+1 (988) 555-2485", "+49 30 1234 5678", "base64", "@", ".", "-", "com", "a", "12", "\U0001f600"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", "", " ", ", ", "\n"]) for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    got = pseudonyms.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "key").select("doc_id", "spans").collect()
+    for r in got:
+        assert r.spans == brute_private(texts[r.doc_id]), texts[r.doc_id]
+
+
+def test_pseudonyms_of_very_long_runs(spark):
+    """Runs that made the e-mail form recurse once a label, or try every place of a run."""
+    n = 1_000_000
+    rows = [(1, "x@" + "a." * (n // 2) + "com"), (2, "aB3" * (n // 3)), (3, "x@" + "a" * n), (4, "a@" * (n // 2)), (5, "12345678901" * (n // 11)), (6, "u." * (n // 2) + "v@w.org")]
+    began = time.monotonic()
+    got = {r.doc_id: r for r in pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    assert time.monotonic() - began < 60
+    assert all(got[k].text == t for k, t in rows[:5]) and got[6].spans == f"email:0:{n + 7}"
+
+
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 
 
