@@ -10,9 +10,10 @@ percent * |union|``. The result is each document's connected component.
    entries of the posting lists to read, plus the candidates they can make (entries / l) times the price of verifying
    one. A pair is a candidate if it shares the smaller of its two ``l``.
 4. Groups of near copies would make all pairs, linked or not. So each class is first compared with one leader of its
-   posting lists. Classes that resemble a leader (``NEAR``) have it as pivot; among classes of one pivot only those
-   pairs are looked at that share a *difference* from it (see ``around_pivots``), which loses no component. All
-   other candidate pairs, of different pivots and components, are generated from the posting lists.
+   posting lists, and then with a larger leader that most of its lists name. Classes that resemble a leader (``NEAR``)
+   have it as pivot; among classes of one pivot only those pairs are looked at that share a *difference* from it (see
+   ``around_pivots``), which loses no component. All other candidate pairs, of different pivots and components, are
+   generated from the posting lists.
 5. Verification counts the shingles of both whole texts, or of the differences from a common pivot.
 
 Words are lower-cased (A-Z) runs of bytes that are not ASCII white space; 64-bit hashes stand for words and shingles,
@@ -169,14 +170,18 @@ def most_apart(total, percent: int):
     return total - 2 * F.ceil(total * percent / (100 + percent))
 
 
+def size_band(percent: int):
+    """Number of the band of set sizes; sizes of links lie in one band or in neighbours."""
+    return F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))) if percent < 100 else F.col("n")
+
+
 def leaders(postings: DataFrame, percent: int) -> DataFrame:
     """(a, ad, b, bd): each class with the root of its chain of leaders, if that is another class.
 
     A posting list's leader, in each band of set sizes, is the class of least hash; a class follows the leader it
     meets in most of its lists, if in at least half of them. Leaders have ever smaller hashes, so chains have ends.
     """
-    band = F.floor(F.log(F.col("n")) / float(-np.log(percent / 100))) if percent < 100 else F.col("n")
-    p = postings.withColumn("band", band).withColumn("me", F.struct(F.xxhash64("rep", "d1").alias("draw"), "rep", "d1"))
+    p = postings.withColumn("band", size_band(percent)).withColumn("me", F.struct(F.xxhash64("rep", "d1").alias("draw"), "rep", "d1"))
     lead = p.groupBy("tok", "band").agg(F.min("me").alias("lead"))
     met = p.join(lead, ["tok", "band"]).groupBy("me", "lead").agg(F.count("*").alias("shared"))
     best = met.groupBy("me").agg(F.max(F.struct("shared", "lead")).alias("m"), F.sum("shared").alias("lists"))
@@ -188,6 +193,28 @@ def leaders(postings: DataFrame, percent: int) -> DataFrame:
     return root.select(F.col("me.rep").alias("a"), F.col("me.d1").alias("ad"), F.col("up.rep").alias("b"), F.col("up.d1").alias("bd"))
 
 
+def larger_pivots(near: DataFrame, postings: DataFrame, percent: int) -> DataFrame:
+    """(a, ad, b, bd): classes whose lists mostly name one larger pivot than their own, with that pivot.
+
+    Chains of leaders may end at several roots within one group of near copies, and some classes of it follow no leader,
+    as their lists name many. Such classes would meet in the posting lists, pair by pair. So each list names its largest
+    pivot in each band of set sizes, and a class moves to the one that at least half of its lists name.
+    """
+    pivot = F.struct("b", "bd")
+    size = near.groupBy(pivot.alias("p")).agg(F.count("*").alias("size"))
+    of = near.select(F.col("a").alias("rep"), F.col("ad").alias("d1"), pivot.alias("p"))
+    of = of.unionByName(size.select(F.col("p.b").alias("rep"), F.col("p.bd").alias("d1"), "p").join(of.select("rep", "d1"), ["rep", "d1"], "left_anti"))
+    own = F.when(F.col("size").isNotNull(), F.struct("size", "p"))
+    entries = postings.select("tok", "rep", "d1", size_band(percent).alias("band")).join(of.join(size, "p"), ["rep", "d1"], "left")
+    entries = entries.select("tok", "band", "rep", "d1", own.alias("own"))
+    lead = entries.where("own is not null").groupBy("tok", "band").agg(F.max("own").alias("lead"))
+    named = entries.join(lead, ["tok", "band"], "left").groupBy("rep", "d1", "own", "lead").agg(F.count("*").alias("shared"))
+    best = named.groupBy("rep", "d1", "own").agg(F.sum("shared").alias("lists"), F.max(F.when(F.col("lead").isNotNull(), F.struct("shared", "lead"))).alias("m"))
+    best = best.where("2 * m.shared >= lists and (own is null or m.lead > own)")
+    to = F.col("m.lead.p")
+    return best.where((F.col("rep") != to["b"]) | (F.col("d1") != to["bd"])).select(F.col("rep").alias("a"), F.col("d1").alias("ad"), to["b"].alias("b"), to["bd"].alias("bd"))
+
+
 def around_pivots(near: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes of one pivot that aren't both linked with it.
 
@@ -301,7 +328,10 @@ def links(texts: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFr
     )
     known = stored(texts.join(postings.select(F.col("rep").alias("node")).distinct(), "node"), "jaccard-texts")
     near = stored(compared(leaders(postings, percent), known, words, percent, NEAR), "jaccard-near")
-    found = stored(near.where("link").select("a", "b").unionByName(around_pivots(near, percent)), "jaccard-links")
+    moved = stored(compared(larger_pivots(near, postings, percent), known, words, percent, NEAR), "jaccard-moved")
+    linked = near.where("link").select("a", "b")
+    near = stored(near.join(moved.select("a", "ad"), ["a", "ad"], "left_anti").unionByName(moved), "jaccard-near")
+    found = stored(linked.unionByName(moved.where("link").select("a", "b")).unionByName(around_pivots(near, percent)), "jaccard-links")
     comp = components(found).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
     pivot = near.select(F.col("a").alias("rep"), F.col("ad").alias("d1"), F.struct("b", "bd").alias("_p"))
     me = F.struct(F.col("rep").alias("b"), F.col("d1").alias("bd"))
