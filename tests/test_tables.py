@@ -62,6 +62,16 @@ def test_seek_pages_read_their_files_only(spark, tmp_path):
     assert pages.page_of(spark, (F.col("first.g") > g) | ((F.col("first.g") == g) & (F.col("first.k") <= k))) == 1234 // 50
 
 
+def test_seek_pages_in_a_bounded_number_of_slices(spark, tmp_path):
+    df = spark.range(2345).select((F.col("id") * 7919 % 2345).alias("k"))
+    pages = paging.write_pages(df.repartition(5), [F.col("k")], 10, f"file:{tmp_path}/p", slice_rows=20, most_slices=6)
+    assert len([x for x in (tmp_path / "p" / "rows").iterdir() if x.name.startswith("_slice=")]) == 6
+    for k in (0, 1, 39, 40, 100, 234):
+        assert [r.k for r in pages.page(spark, k).collect()] == list(range(2345))[10 * k : 10 * k + 10]
+    assert pages.page(spark, 235).count() == 0
+    assert pages.index(spark).agg(F.sum("rows"), F.count("*"), F.min("rows")).first()[:] == (2345, 235, 5)
+
+
 def test_hot_conversation_is_spread_and_in_order(spark):
     rng = random.Random(4)
     rows = [("hot", f"{k:06d}", f"m{k}", f"t{k}") for k in range(900)] + [(f"c{k % 60}", f"{k // 60:06d}", f"n{k}", f"u{k}") for k in range(600)]
