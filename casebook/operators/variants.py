@@ -3,7 +3,8 @@
 ``store_documents`` parses every document when it is stored and writes it as a VARIANT column, so later jobs take fields
 from the binary form instead of parsing text. A text that isn't one JSON object goes to a dead-letter table with its reason.
 
-``path_counts`` counts which paths and types the documents hold; partial counts combine before the shuffle.
+``path_counts`` counts which paths and types the documents hold, all depths in one pass over them; partial counts combine
+before the shuffle.
 ``schema_drift`` compares two such counts: fields that are new, have another type, or are gone.
 """
 
@@ -16,12 +17,16 @@ from pyspark.sql.types import StructType
 from casebook import schemas
 from casebook.config import Settings
 from casebook.operators import silver
+from casebook.operators.ordering import written
 
 
 def _type(doc: Column) -> Column:
     """Type of one value: OBJECT, ARRAY, or the scalar's type; VOID for a JSON null. Types of numbers by their form
     (``1`` BIGINT, ``1.5`` DECIMAL, ``1e3`` DOUBLE)."""
-    return F.regexp_extract(F.schema_of_variant(doc), r"^([A-Z]+)", 1)
+    schema = F.schema_of_variant(doc)
+    for end in "<(_":
+        schema = F.substring_index(schema, end, 1)
+    return schema
 
 
 def with_variant(raw: DataFrame) -> DataFrame:
@@ -77,22 +82,33 @@ def common_schema(docs: DataFrame) -> DataFrame:
 
 def path_counts(docs: DataFrame, depth: int = 4) -> DataFrame:
     """``(path, type, n)``: how many values stand at each path with each type; ``[*]`` is an array's element."""
-    level = docs.select(F.lit("$").alias("path"), F.col("doc").alias("value"))
-    found = None
-    for _ in range(depth):
-        level.createOrReplaceTempView("_casebook_values")
-        inner = level.sparkSession.sql(
-            "SELECT CASE WHEN x.key IS NULL THEN concat(path, '[*]') ELSE concat(path, '.', x.key) END AS path, x.value AS value"
-            " FROM _casebook_values, LATERAL variant_explode(value) AS x")
-        counted = inner.groupBy("path", _type(F.col("value")).alias("type")).agg(F.count(F.lit(1)).alias("n"))
-        found = counted if found is None else found.unionByName(counted)
-        level = inner
-    return found
+    level = _children(docs.select(F.lit("$").alias("path"), F.col("doc").alias("value")))
+    for _ in range(depth - 1):
+        # Every value stays as it is, and one that holds others comes again with them.
+        both = F.array(F.struct(F.lit(False).alias("inside"), F.lit(None).cast("variant").alias("value")), F.struct(F.lit(True).alias("inside"), F.col("value")))
+        level = level.select("path", "type", F.explode(F.when(F.col("value").isNotNull(), both).otherwise(F.slice(both, 1, 1))).alias("x")).select("path", "type", "x.*")
+        level = _children(level)
+    return level.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _children(level: DataFrame) -> DataFrame:
+    """``(path, type, value)`` of the values inside each ``value``, and of the rows not marked ``inside``; ``value`` is kept
+    where it holds others."""
+    outer = "inside" in level.columns
+    path = "CASE WHEN x.key IS NULL THEN concat(path, '[*]') ELSE concat(path, '.', x.key) END"
+    path, old = (f"CASE WHEN inside THEN {path} ELSE path END", "CASE WHEN NOT inside THEN type END") if outer else (path, "CAST(NULL AS STRING)")
+    inner = level.sparkSession.sql(
+        f"SELECT {path} AS path, {old} AS old, x.value AS value FROM {{level}}, LATERAL variant_explode{'_outer' * outer}(value) AS x"
+        f"{' WHERE NOT inside OR x.pos IS NOT NULL' * outer}", level=level)
+    inner = inner.select("path", "value", F.coalesce("old", _type(F.col("value"))).alias("type"))
+    return inner.select("path", "type", F.when(F.col("type").isin("OBJECT", "ARRAY"), F.col("value")).alias("value"))
 
 
 def schema_drift(before: DataFrame, after: DataFrame) -> DataFrame:
     """``(path, status, type, n)`` of what ``after`` holds and ``before`` doesn't (``new`` paths, ``retyped`` values of known
-    ones; JSON nulls retype nothing) and of the paths that are ``gone``, with their counts."""
+    ones; JSON nulls retype nothing) and of the paths that are ``gone``, with their counts. Both counts, a row for each path
+    and type, are stored first: they are made once, however often they are compared."""
+    before, after = written(before, "paths"), written(after, "paths")
     known = before.groupBy("path").agg(F.sum("n").alias("seen"))
     there = before.select("path", "type").distinct()
     fresh = after.join(there, ["path", "type"], "left_anti").join(known, "path", "left")

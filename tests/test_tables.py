@@ -234,3 +234,15 @@ def test_add_counts_drops_empty_groups(spark):
     now = spark.createDataFrame([("a", 2), ("b", 1)], "g string, n long")
     delta = spark.createDataFrame([("b", -1), (None, 3)], "g string, n long")
     assert {tuple(r) for r in reports.add_counts(now, delta, ["g"]).collect()} == {("a", 2), (None, 3)}
+
+
+def test_path_counts_in_one_pass(spark):
+    texts = ['{"a":{},"b":[],"c":[1,{"d":null}],"e":{"f":{"g":{"h":{"i":1}}}},"":{"x":2.5}}', '{"a":{"z":[[]]},"b":"t","c":true}', "{}"]
+    docs = spark.range(3).select(F.parse_json(F.element_at(F.array(*map(F.lit, texts)), (F.col("id") + 1).cast("int"))).alias("doc"))
+    counts = variants.path_counts(docs)
+    want = {("$.a", "OBJECT", 2), ("$.b", "ARRAY", 1), ("$.c", "ARRAY", 1), ("$.e", "OBJECT", 1), ("$.", "OBJECT", 1), ("$.b", "STRING", 1),
+            ("$.c", "BOOLEAN", 1), ("$.c[*]", "BIGINT", 1), ("$.c[*]", "OBJECT", 1), ("$.c[*].d", "VOID", 1), ("$.e.f", "OBJECT", 1),
+            ("$.e.f.g", "OBJECT", 1), ("$.e.f.g.h", "OBJECT", 1), ("$..x", "DECIMAL", 1), ("$.a.z", "ARRAY", 1), ("$.a.z[*]", "ARRAY", 1)}
+    assert {tuple(r) for r in counts.collect()} == want
+    assert plan_of(counts.where("n > 0")).count("Range (0, 3") == 1  # the documents are read once
+    assert {tuple(r) for r in variants.path_counts(docs, 1).collect()} == {w for w in want if "." not in w[0][2:] and "[" not in w[0]} - {("$..x", "DECIMAL", 1)}
