@@ -43,12 +43,13 @@ def upsert_latest(current: DataFrame, updates: DataFrame, key: str | list[str],
     return latest_per_key(both, key, order)
 
 
-def latest_by_arrival(updates: DataFrame, key: str, arrival: list[str]) -> DataFrame:
+def latest_by_arrival(updates: DataFrame, key: str | list[str], arrival: list[str]) -> DataFrame:
     """One row per key: the row that arrived last. ``arrival`` columns decide in order (say, run number,
     then the record's own time); NULL comes before every value, and the greatest row breaks ties."""
-    rest = [c for c in updates.columns if c != key and c not in arrival]
-    newest = updates.groupBy(key).agg(F.max(F.struct(*arrival, *rest)).alias("_r"))
-    return newest.select(*[F.col(key) if c == key else F.col(f"_r.{c}") for c in updates.columns])
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in updates.columns if c not in keys and c not in arrival]
+    newest = updates.groupBy(*keys).agg(F.max(F.struct(*arrival, *rest)).alias("_r"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_r.{c}") for c in updates.columns])
 
 
 def replace_rows(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:

@@ -33,7 +33,11 @@ def start_upsert_stream(stream: DataFrame, table: BucketedSnapshot | MergeOnRead
         return merge.replace_rows(current, merge.latest_by_arrival(batch, key, [order]), key)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch.select(*[f.name for f in table.schema.fields]), upsert)
+        batch = batch.select(*[f.name for f in table.schema.fields])
+        if isinstance(table, BucketedSnapshot) and not by_order:
+            table.put(batch, [order])  # the same rows as ``upsert``, without rewriting the table for each batch
+        else:
+            table.merge(batch, upsert)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
