@@ -43,8 +43,8 @@ BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 BLANK = BREAK.copy()
 BLANK[[0x20, 0x09]] = True
-CHUNK = 8 << 20  # bytes of text whose words are in hand at once, unless one text is longer
-HELD = 1 << 20  # suffixes of a task that wait to be combined
+CHUNK = 2 << 20  # bytes of text whose words are in hand at once, unless one text is longer
+HELD = 1 << 18  # suffixes of a task that wait to be combined
 
 
 # --- suffixes of a task's texts ---

@@ -120,3 +120,11 @@ def test_no_candidates(spark):
     assert mined(spark, [(1, "one two three", "en"), (2, None, None)]) == []
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert co.collocations(df).collect() == []
+
+
+def test_chunks_bound_a_task():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["en"] * 600), "text": pa.array(["word " * 2000] * 600)})
+    parts = [a for _, a in co._chunks(batch)]
+    assert sum(map(len, parts)) == 600 and max(a.nbytes for a in map(pa.concat_arrays, ([a] for a in parts))) < 3 << 20
